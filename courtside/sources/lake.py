@@ -15,8 +15,10 @@ TOURNAMENT_LAYOUT = ("year", "type", "surfaceInout", "tournament")
 
 
 def path_part(path: Column, from_end: int) -> Column:
-    """Directory level of a file path, counted from the file name (0); url escapes are decoded."""
-    return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -(from_end + 1)), F.lit("+"), F.lit("%2B")))
+    """Directory level of a file path, counted from the file name (0), as ``value`` or ``level=value``."""
+    level = F.element_at(F.split(path, "/"), -(from_end + 1))
+    decoded = F.url_decode(F.replace(level, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^[A-Za-z]+=", "")
 
 
 def read_lake(
@@ -28,7 +30,8 @@ def read_lake(
     Directory levels not in the file come as columns ``_<level>``, and ``seq`` is the file path: its order is the landing
     order that "last row" lookups rely on.
     """
-    pattern = "/".join([path.rstrip("/"), str(year) if year is not None else "*"] + ["*"] * (len(layout) - 1))
+    first = "*" if year is None else f"{{{year},{layout[0]}={year}}}"
+    pattern = "/".join([path.rstrip("/"), first] + ["*"] * (len(layout) - 1))
     raw = spark.read.schema(schemas.text_schema(columns, index=True)).option("header", True).csv(f"{pattern}/*.csv")
     file = F.col("_metadata.file_path")
     levels = [
@@ -67,9 +70,9 @@ def read_tournament_lookup(spark: SparkSession, path: str) -> DataFrame:
     return tournament_lookup(spark.read.text(path, wholetext=True), "value")
 
 
-def read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed feed documents, one per file."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+def read_feed(spark: SparkSession, path: str, schema: T.StructType, *, per_line: bool = False) -> DataFrame:
+    """Landed feed documents, one per file or one per line. Only documents on lines can be split between tasks."""
+    return spark.read.schema(schema).json(path, multiLine=not per_line)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -22,7 +22,8 @@ def write_table(
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # keep blanks around text
+        writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.operators import clean, enrich
+from courtside.operators.orient import to_player_rows
+from courtside.plans.refresh import oriented_matches
+from courtside.schemas import COUNT_COLUMNS, PERCENT_COLUMNS, PHASE_ORDINAL, THOUSANDS_COLUMNS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -56,7 +61,7 @@ def matches_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"), F.lit("Indoor Carpet")
     ).otherwise(_case(F.col("o_orderstatus"), SURFACES))
     return m.select(
-        F.concat(F.lit("open-"), F.pmod("o_custkey", F.lit(25)).cast("string")).alias("name"),
+        F.concat(F.lit("open-"), F.pmod("o_custkey", F.lit(5)).cast("string")).alias("name"),
         _case(F.col("o_orderpriority"), PHASES).alias("phase"),
         surface.alias("surfaceInout"),
         _case(F.col("o_orderpriority"), BADGES).alias("typeTournament"),
@@ -90,7 +95,7 @@ _ends AS (
   FROM _ranked h JOIN _ranked l ON h.l_orderkey = l.l_orderkey AND h.top = 1 AND l.bottom = 1
   WHERE h.l_suppkey <> l.l_suppkey),
 matches_raw AS (
-  SELECT 'open-' || CAST(o_custkey % 25 AS VARCHAR) AS name,
+  SELECT 'open-' || CAST(o_custkey % 5 AS VARCHAR) AS name,
          {_sql_case("o_orderpriority", PHASES)} AS phase,
          CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'Indoor Carpet'
               ELSE {_sql_case("o_orderstatus", SURFACES)} END AS "surfaceInout",
@@ -230,6 +235,101 @@ stats_raw AS (
   FROM _lines)"""
 
 
+_PHASE_SQL = {v: str(PHASE_ORDINAL[v]) for v in PHASES.values() if v in PHASE_ORDINAL}
+_RATE_SURFACE = """CASE WHEN "{0}" <> 'NaN' THEN CAST("{0}" AS DOUBLE) END AS "{0}\""""
+_DIGITS = """CAST(regexp_replace("{0}", '[^0-9]+', '', 'g') AS DOUBLE) AS "{0}\""""
+
+# clean, oriented matches
+SQL_MATCHES = f"""{SQL_MATCHES_RAW},
+matches AS (
+  SELECT sha256(concat_ws('|', url, date, phase, "winnerName", "looserName")) AS match_id, seq, name, url, date,
+         "surfaceInout", "winnerName", "looserName",
+         CAST({_sql_case("phase", _PHASE_SQL)} AS INTEGER) AS phase,
+         CASE WHEN "typeTournament" IS NULL THEN 250.0 WHEN "typeTournament" IN ('finals', 'grandslam') THEN 2000.0
+              ELSE CAST("typeTournament" AS DOUBLE) END AS "typeTournament",
+         CAST(split_part(date, '.', 1) AS INTEGER) AS year,
+         CAST(strptime(split_part(date, ' - ', 1), '%Y.%m.%d') AS DATE) AS start_date,
+         CAST(strptime(split_part(date, ' - ', 2), '%Y.%m.%d') AS DATE) AS end_date,
+         CAST(date_diff('day', strptime(split_part(date, ' - ', 1), '%Y.%m.%d'),
+                        strptime(split_part(date, ' - ', 2), '%Y.%m.%d')) AS INTEGER) AS duree,
+         {_DIGITS.format("winnerRate")}, {_DIGITS.format("looserRate")},
+         {_RATE_SURFACE.format("winnerRateSurface")}, {_RATE_SURFACE.format("looserRateSurface")},
+         split_part("surfaceInout", ' ', 1) AS "inOut", split_part("surfaceInout", ' ', 2) AS surface,
+         least("winnerName", "looserName") AS player0, greatest("winnerName", "looserName") AS player1,
+         CAST(CASE WHEN "winnerName" < "looserName" THEN 0 ELSE 1 END AS INTEGER) AS label,
+         CASE split_part("surfaceInout", ' ', 2) WHEN 'Hard' THEN 'hard' WHEN 'Clay' THEN 'clay' ELSE 'grass' END
+           AS stats_surface
+  FROM matches_raw)"""
+
+
+def _sql_percent(c: str) -> str:
+    return f"""TRY_CAST(rtrim(nullif("{c}", '[]'), '%') AS DOUBLE) / 100.0 AS "{c}\""""
+
+
+def _sql_count(c: str) -> str:
+    return f"""CAST(nullif("{c}", '[]') AS INTEGER) AS "{c}\""""
+
+
+def _sql_thousands(c: str) -> str:
+    return f"""CAST(replace("{c}", ',', '') AS DOUBLE) AS "{c}\""""
+
+
+# cleaned statistics
+SQL_STATS = f"""{SQL_STATS_RAW},
+stats AS (
+  SELECT player, CAST(year AS INTEGER) AS year, split_part(url, '=', 3) AS surface, seq, url, weight, "startCareer", age,
+         {", ".join(map(_sql_percent, PERCENT_COLUMNS))}, {", ".join(map(_sql_count, COUNT_COLUMNS))},
+         {", ".join(map(_sql_thousands, THOUSANDS_COLUMNS))},
+         CAST(regexp_extract(height, '([0-9]+)', 1) AS INTEGER) AS height,
+         CASE WHEN trim(plays) = 'Eric Lambert' THEN 'Right-Handed' ELSE split_part(trim(plays), ',', 1) END AS plays,
+         CAST(ranking AS INTEGER) AS ranking, CAST("tournCell" AS INTEGER) AS "tournCell",
+         CAST("nextBest" AS DOUBLE) AS "nextBest"
+  FROM stats_raw)"""
+
+# last statistics row per player, year and surface
+SQL_STATS_LAST = """
+stats_last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player, year, surface ORDER BY seq DESC) AS _rn FROM stats)
+  WHERE _rn = 1)"""
+
+
+def sql_attached(columns: list[str]) -> str:
+    """Matches with the last statistics of both sides."""
+    sides = ", ".join(f'a{s}."{c}" AS "{c}{s}"' for s in (0, 1) for c in columns)
+    joins = " ".join(
+        f"LEFT JOIN stats_last a{s} ON a{s}.player = m.player{s} AND a{s}.year = m.year "
+        f"AND a{s}.surface = m.stats_surface" for s in (0, 1))
+    return f"attached AS (SELECT m.*, {sides} FROM matches m {joins})"
+
+
+# one row per match and player
+SQL_PLAYER_ROWS = """
+player_rows AS (
+  SELECT match_id, seq, year, start_date, surface, player0 AS player, player1 AS opponent, 0 AS slot,
+         CASE WHEN label = 0 THEN 1 ELSE 0 END AS win, ranking1 AS opponent_ranking FROM attached
+  UNION ALL
+  SELECT match_id, seq, year, start_date, surface, player1, player0, 1,
+         CASE WHEN label = 1 THEN 1 ELSE 0 END, ranking0 FROM attached)"""
+
+
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean, oriented matches."""
+    return oriented_matches(matches_raw(spark, sf_dir))
+
+
+def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_stats(stats_raw(spark, sf_dir))
+
+
+def attached(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    return enrich.attach_stats(matches(spark, sf_dir), stats(spark, sf_dir), columns)
+
+
+def player_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = attached(spark, sf_dir, ["ranking"])
+    return to_player_rows(rows, ["match_id", "seq", "year", "start_date", "surface"], ["ranking"])
+
+
 def with_sql(query: str, *ctes: str) -> str:
     """A statement with the given common table expressions in front."""
     return "WITH " + ",".join(ctes) + "\n" + query if ctes else query
