@@ -18,7 +18,7 @@ def path_part(path: Column, from_end: int) -> Column:
     """Directory level of a file path, counted from the file name (0), as ``value`` or ``level=value``."""
     level = F.element_at(F.split(path, "/"), -(from_end + 1))
     decoded = F.url_decode(F.replace(level, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^[A-Za-z]+=", "")
+    return F.regexp_replace(decoded, "^[A-Za-z_]+=", "")
 
 
 def read_lake(
@@ -30,7 +30,7 @@ def read_lake(
     Directory levels not in the file come as columns ``_<level>``, and ``seq`` is the file path: its order is the landing
     order that "last row" lookups rely on.
     """
-    first = "*" if year is None else f"{{{year},{layout[0]}={year}}}"
+    first = "*" if year is None else f"{{{year},*={year}}}"
     pattern = "/".join([path.rstrip("/"), first] + ["*"] * (len(layout) - 1))
     raw = spark.read.schema(schemas.text_schema(columns, index=True)).option("header", True).csv(f"{pattern}/*.csv")
     file = F.col("_metadata.file_path")

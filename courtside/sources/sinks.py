@@ -47,12 +47,12 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
 
 
 def current_rows(log: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """Current state of an upsert table: the row of the newest version per key.
+    """Current state of an upsert table: per key the row with the greatest ``order``, or of the newest version.
 
     A batch costs its own size, not the size of the table; the newest row is found with one partial aggregation.
     """
     cols = [c for c in log.columns if c not in (*key, VERSION)]
-    return last_row(log, list(key), F.struct(F.col(VERSION), *order), cols)
+    return last_row(log, list(key), F.struct(*order, F.col(VERSION)), cols)
 
 
 def read_current(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
@@ -60,5 +60,5 @@ def read_current(spark: SparkSession, path: str, key: Sequence[str], order: Sequ
 
 
 def compact(spark: SparkSession, path: str, target: str, key: Sequence[str], order: Sequence[Column] = ()) -> None:
-    """Current state as version 0 of a new table; readers switch over when it is complete."""
-    write_version(read_current(spark, path, key, order), target, 0)
+    """Current state as the first version of a new table; readers switch over when it is complete."""
+    write_version(read_current(spark, path, key, order), target, -1)

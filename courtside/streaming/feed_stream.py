@@ -1,4 +1,4 @@
-"""Landed offers as a stream: identical repeats are dropped, changed offers are upserted by key."""
+"""Landed offers as a stream, upserted by key."""
 
 from __future__ import annotations
 
@@ -12,7 +12,11 @@ from courtside.sources.sinks import read_current, write_version
 
 
 def without_repeats(stream: DataFrame, time: str, delay: str, columns: Sequence[str]) -> DataFrame:
-    """Drops rows equal in ``columns`` to one seen within ``delay``; state older than that is released."""
+    """Drops records equal in ``columns`` to one seen within ``delay``; state older than that is released.
+
+    ``columns`` must tell records apart (an id): a value that goes back to a former one is news, not a repeat. Rows later
+    than ``delay`` are dropped by the watermark.
+    """
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(columns))
 
 
