@@ -125,17 +125,20 @@ def fit_minmax(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def apply_minmax(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Scales columns to 0..1 by fitted bounds, read once as a scalar subquery; a constant column becomes 0."""
-    bounds = stats.select(F.struct(*[_q(c) for c in stats.columns])).scalar()
-    wanted = set(columns)
-    with_bounds = df.withColumn("_bounds", bounds)
+    """Scales columns to 0..1 by fitted bounds; a constant column becomes 0.
+
+    The bounds are one row, the parameters of the fit; they enter the plan as constants.
+    """
+    bounds = stats.first()
 
     def scaled(c: str) -> Column:
-        low, high = (F.col("_bounds").getField(f"{n}_{c}") for n in ("min", "max"))
-        span = F.when(high == low, F.lit(1.0)).otherwise(high - low)
-        return ((_q(c) - low) / span).alias(c)
+        low, high = bounds[f"min_{c}"], bounds[f"max_{c}"]
+        if low is None:
+            return F.lit(None).cast("double").alias(c)
+        return ((_q(c) - low) / ((high - low) or 1.0)).alias(c)
 
-    return with_bounds.select(*[scaled(c) if c in wanted else _q(c) for c in df.columns])
+    wanted = set(columns)
+    return df.select(*[scaled(c) if c in wanted else _q(c) for c in df.columns])
 
 
 def split(

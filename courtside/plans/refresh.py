@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside import schemas
 from courtside.operators import clean, dataset, enrich, form, h2h, orient
 from courtside.operators.skew import HOT_ROWS
+from courtside.session import materialize
 from courtside.sources import lake, sinks
 
+KEYS = ("match_id", "player0", "player1", "year", "start_date", "phase")
 STATS_WANTED = [c for c in schemas.STAT_COLUMNS if c not in ("player", "year", "url")]
 
 
@@ -43,9 +47,14 @@ def with_form(matches: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     return dataset.impute(joined, {"Forme0": 0.5, "Forme1": 0.5})
 
 
-def feature_rows(raw: DataFrame, raw_stats: DataFrame, keep: tuple[str, ...] = (
-        "match_id", "player0", "player1", "year", "start_date", "phase"), hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Keys and the 72 features of every match."""
-    matches = with_stats(oriented_matches(raw), raw_stats)
-    rated = h2h.normalise_h2h(h2h.impute_h2h(h2h.h2h_rates(matches)))
-    return dataset.build_features(with_form(rated, hot_rows), keep)
+def feature_rows(
+    raw: DataFrame, raw_stats: DataFrame, keep: Sequence[str] = KEYS, hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Keys and the 72 features of every match.
+
+    Matches with statistics are landed first: form reads a few of their columns, the feature row all of them, and the
+    joins behind them run once.
+    """
+    matches = materialize(with_stats(oriented_matches(raw), raw_stats), "with-stats")
+    rated = h2h.normalise_h2h(h2h.impute_h2h(h2h.h2h_rates(with_form(matches, hot_rows))))
+    return dataset.build_features(rated, keep)

@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _hundredths(name: str) -> Column:
+    """A non-negative amount with two decimals as a whole number."""
+    return F.floor(F.col(name) * 100 + 0.5)
+
+
 def _player(suppkey: Column) -> Column:
     return F.concat(F.lit("p-"), F.lpad(suppkey.cast("string"), 12, "0"))
 
@@ -47,7 +52,7 @@ def _sql_case(column: str, mapping: dict[str, str]) -> str:
 def matches_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """12 text columns and ``seq``."""
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"))
+        "l_orderkey", "l_suppkey", _hundredths("l_extendedprice").alias("cents"))
     value = lines.groupBy("l_orderkey", "l_suppkey").agg(F.sum("cents").alias("v"))
     ranked = F.struct("v", (-F.col("l_suppkey")).alias("s"))
     ends = value.groupBy("l_orderkey").agg(F.max(ranked).alias("hi"), F.min(ranked).alias("lo")).filter("hi.s <> lo.s")
@@ -119,8 +124,8 @@ def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(
         F.count("*").alias("n"),
         F.sum(F.col("l_quantity").cast("long")).alias("q"),
-        F.sum(F.round(F.col("l_discount") * 100).cast("long")).alias("d"),
-        F.sum(F.round(F.col("l_tax") * 100).cast("long")).alias("t"),
+        F.sum(_hundredths("l_discount")).alias("d"),
+        F.sum(_hundredths("l_tax")).alias("t"),
         F.count_if(F.col("l_returnflag") == "R").alias("r"),
         F.count_if(F.col("l_returnflag") == "A").alias("a"),
         F.count_if(F.col("l_linestatus") == "O").alias("o"),

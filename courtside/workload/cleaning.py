@@ -133,15 +133,6 @@ def str_12(spark, sf_dir):
         text.dated_id(F.col("date"), F.col("looserName"), F.col("winnerName")).alias("dated_id"))
 
 
-@query("str_13")
-def str_13(spark, sf_dir):
-    """Indel ratio of every part name with its own reversed word order; SQL has no such measure."""
-    name = F.col("p_name")
-    swapped = F.concat_ws(" ", F.reverse(F.split(name, " ")))
-    return a.table(spark, sf_dir, "part").select(
-        "p_partkey", indel_ratio(name, swapped).alias("ratio"))
-
-
 @query("str_14", _stats_sql(
     "seq, contains(lower(plays), 'left') AS is_left, lower(split_part(url, '=', 3)) = 'clay' AS is_clay"))
 def str_14(spark, sf_dir):
@@ -275,26 +266,46 @@ def _altered():
     return F.when(F.col("p_size") <= 25, cut).otherwise(F.concat(F.translate(name, " ", "-"), F.lit("x")))
 
 
+# length of the longest common subsequence, one row of the usual table per character of the query
+_COMMON_SQL = """
+lcs(query, name, i, cells) AS (
+  SELECT query, name, 0, list_transform(range(0, length(name) + 1), lambda x: CAST(0 AS BIGINT)) FROM pairs
+  UNION ALL
+  SELECT query, name, i + 1, list_concat([CAST(0 AS BIGINT)], list_transform(range(1, length(name) + 1),
+           lambda j: list_max(list_transform(range(1, j + 1), lambda p:
+             CASE WHEN substr(name, CAST(p AS INTEGER), 1) = substr(query, i + 1, 1) THEN cells[p] + 1
+                  ELSE cells[p + 1] END))))
+  FROM lcs WHERE i < length(query)),
+ratios AS (
+  SELECT query, name, CAST(round_even(100.0::DOUBLE * (2 * cells[length(name) + 1]) / (length(query) + length(name)), 0)
+                           AS INTEGER) AS score
+  FROM lcs WHERE i = length(query))"""
+
+
 @query("join_3", f"""
-WITH asked AS (SELECT DISTINCT {_ALTERED_SQL} AS query FROM part),
-     vocab AS (SELECT DISTINCT p_name AS name FROM part)
-SELECT query, name, CAST(score AS INTEGER) AS score FROM (
-  SELECT query, name, -levenshtein(query, name) AS score,
-         row_number() OVER (PARTITION BY query ORDER BY levenshtein(query, name), name) AS rn
-  FROM asked, vocab) WHERE rn = 1""")
+WITH RECURSIVE asked AS (SELECT DISTINCT {_ALTERED_SQL} AS query FROM part),
+vocab AS (SELECT p_name AS name, min(p_partkey) AS pos FROM part GROUP BY p_name),
+pairs AS (SELECT query, name FROM asked, vocab),
+{_COMMON_SQL}
+SELECT query, name, score FROM (
+  SELECT r.*, row_number() OVER (PARTITION BY query ORDER BY score DESC, pos) AS rn
+  FROM ratios r JOIN vocab USING (name)) WHERE rn = 1""")
 def join_3(spark, sf_dir):
-    """Best known name of every altered name by edit distance."""
+    """Best known name of every altered name; the first one in the table wins a tie."""
     part = a.table(spark, sf_dir, "part")
-    return fuzzy.resolve_names(
-        part.select(_altered().alias("query")), part, metric="levenshtein", name="p_name")
+    return fuzzy.resolve_names(part.select(_altered().alias("query")), part, name="p_name", position="p_partkey")
 
 
-@query("join_3_indel")
-def join_3_indel(spark, sf_dir):
-    """Best known name by the indel ratio; the test suite compares it with a plain computation."""
-    part = a.table(spark, sf_dir, "part")
-    return fuzzy.resolve_names(part.select(_altered().alias("query")), part, metric="indel", name="p_name",
-                               position="p_partkey")
+@query("str_13", f"""
+WITH RECURSIVE pairs AS (
+  SELECT DISTINCT split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) AS query, p_name AS name FROM part),
+{_COMMON_SQL}
+SELECT p_partkey, score AS ratio FROM part JOIN ratios ON name = p_name""")
+def str_13(spark, sf_dir):
+    """Indel ratio of every part name with its own reversed word order."""
+    name = F.col("p_name")
+    swapped = F.concat_ws(" ", F.reverse(F.split(name, " ")))
+    return a.table(spark, sf_dir, "part").select("p_partkey", indel_ratio(name, swapped).alias("ratio"))
 
 
 @query("flt_13", "SELECT DISTINCT p_name AS name FROM part WHERE p_name IS NOT NULL")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courtside.functions.rates import stats_surface
 from courtside.operators import dataset, enrich, form, h2h, orient
 from courtside.operators.skew import last_row, rows_per_key_at_most
+from courtside.session import materialize
 from courtside.workload import analogue as a
 from courtside.workload.registry import query
 
@@ -90,7 +91,8 @@ def win_5(spark, sf_dir):
                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""", a.SQL_MATCHES))
 def agg_3(spark, sf_dir):
     """Share of earlier meetings on the same surface won by each side."""
-    return h2h.surface_h2h(a.matches(spark, sf_dir)).select("match_id", "meetings", "rate0", "rate1")
+    m = a.matches(spark, sf_dir).select("match_id", "start_date", "player0", "player1", "surface", "label")
+    return h2h.surface_h2h(materialize(m)).select("match_id", "meetings", "rate0", "rate1")
 
 
 @query("agg_3_all", a.with_sql(
@@ -189,7 +191,7 @@ _FORM_SELECT = """SELECT match_id, player, slot, CAST(n AS INTEGER) AS n, round(
 @query("win_2", a.with_sql(_FORM_SELECT, *ROWS, _FORM_SQL))
 def win_2(spark, sf_dir):
     """Form over the three matches of a player before each match."""
-    out = form.recent_form(a.player_rows(spark, sf_dir))
+    out = form.recent_form(materialize(a.player_rows(spark, sf_dir)))
     return out.select(
         "match_id", "player", "slot", "n", F.round("forme", 6).alias("forme"),
         F.round("win_mean", 6).alias("win_mean"))

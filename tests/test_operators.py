@@ -201,16 +201,6 @@ def test_last_form(spark):
 # --- names -------------------------------------------------------------------------------------------------------------
 
 
-def levenshtein(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
-        row = new
-    return row[-1]
-
-
 def names(n, seed):
     rnd = random.Random(seed)
     return sorted({" ".join("".join(rnd.choice("abcdelnors") for _ in range(rnd.randrange(2, 8))) for _ in range(2))
@@ -231,26 +221,26 @@ def altered(word, rnd):
     return "".join(chars)
 
 
-@pytest.mark.parametrize("metric", ["indel", "levenshtein"])
-def test_resolve_names_is_exact(spark, metric):
+@pytest.mark.parametrize("block_rows", [37, 20_000])
+def test_resolve_names_is_exact(spark, block_rows):
     rnd = random.Random(11)
     vocab = names(120, 1) + ["ab", "ba", "a"]
     rnd.shuffle(vocab)
-    asked = sorted({altered(rnd.choice(vocab), rnd) for _ in range(80)} | {"", "zzzz", "b", "??"})
+    asked = sorted({altered(rnd.choice(vocab), rnd) for _ in range(80)} | {"", "zzzz", "b", "??", "abba"})
     v = spark.createDataFrame([(n, i) for i, n in enumerate(vocab)], "name string, pos long")
     q = spark.createDataFrame([(a,) for a in asked] + [(None,)], "query string")
     got = {r.query: (r.name, r.score) for r in fuzzy.resolve_names(
-        q, v, metric=metric, position="pos", block_rows=37).collect()}
+        q, v, position="pos", block_rows=block_rows).collect()}
     assert got.keys() == set(asked)
     for query in asked:
-        if metric == "indel":
-            scores = [ratio(n, query) for n in vocab]
-            best = max(range(len(vocab)), key=lambda i: (scores[i], -i))
-            assert got[query] == (vocab[best] if scores[best] > 0 else "", scores[best]), query
-        else:
-            scores = [-levenshtein(n, query) for n in vocab]
-            best = max(range(len(vocab)), key=lambda i: (scores[i], -i))
-            assert got[query] == (vocab[best], scores[best]), query
+        scores = [ratio(n, query) for n in vocab]
+        best = max(range(len(vocab)), key=lambda i: (scores[i], -i))
+        assert got[query] == (vocab[best] if scores[best] > 0 else "", scores[best]), query
+
+
+def test_resolve_names_without_vocabulary(spark):
+    q = spark.createDataFrame([("a",)], "query string")
+    assert fuzzy.resolve_names(q, q.filter("false").withColumnRenamed("query", "name")).count() == 0
 
 
 # --- dataset -------------------------------------------------------------------------------------------------------------

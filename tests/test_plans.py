@@ -9,7 +9,6 @@ from courtside.operators.skew import rows_per_key_at_most
 from courtside.plans import prediction, refresh, training
 from courtside.session import materialize
 from courtside.workload import analogue as a
-from __spark_entry__ import oracle_sql, queries
 
 
 def plan(df):
@@ -85,16 +84,6 @@ def test_other_classifiers(features, algorithm):
 
 # --- plans -------------------------------------------------------------------------------------------------------------------
 
-NO_PYTHON = sorted(n for n in oracle_sql() if n not in ("join_3", "strm_1") and not n.startswith(("snk", "src")))
-
-
-@pytest.mark.parametrize("name", NO_PYTHON)
-def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(queries()[name](spark, sf_dir))
-    assert "Python" not in text and "ArrowEval" not in text
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-
-
 def test_row_limits_run_before_the_shuffle(spark, sf_dir):
     rows = orient.to_player_rows(a.matches(spark, sf_dir), ["seq"])
     text = plan(rows_per_key_at_most(rows, ["player"], [F.col("seq")], 3))

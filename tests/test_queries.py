@@ -24,13 +24,24 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+# name resolution scores its last names in Arrow batches; everything else stays in the JVM
+USES_PYTHON = {"join_3"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, con, sf_dir, name):
-    assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) is None
+    df = QUERIES[name](spark, sf_dir)
+    assert compare(df, con, SQL[name]) is None
+    text = plan(df)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    if name not in USES_PYTHON:
+        assert "Python" not in text and "ArrowEval" not in text
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_has_rows(spark, sf_dir, name):
-    df = QUERIES[name](spark, sf_dir)
-    assert df.count() > 0
-    assert df.schema == QUERIES[name](spark, sf_dir).schema
+    assert QUERIES[name](spark, sf_dir).count() > 0
