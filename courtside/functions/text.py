@@ -22,11 +22,12 @@ def nan_to_null(c: Column) -> Column:
 
 
 def number(c: Column) -> Column:
-    return nan_to_null(null_tokens(c).try_cast("double"))
+    """Text as a number; null markers and anything that is no number become NULL."""
+    return F.nullif(c.try_cast("double"), F.lit(float("nan")))
 
 
 def integer(c: Column) -> Column:
-    return null_tokens(c).try_cast("int")
+    return c.try_cast("int")
 
 
 def strip(c: Column) -> Column:
@@ -51,7 +52,7 @@ def digits(c: Column) -> Column:
 
 def percent(c: Column) -> Column:
     """``65%`` as the fraction 0.65."""
-    return number(F.regexp_replace(c, "%+$", "")) / F.lit(100.0)
+    return number(F.rtrim(c, F.lit("%"))) / 100
 
 
 def first_number(c: Column) -> Column:
@@ -60,8 +61,8 @@ def first_number(c: Column) -> Column:
 
 
 def part(c: Column, separator: str, index: int) -> Column:
-    """Part ``index`` of a split on a literal separator, NULL when there is none."""
-    return F.get(F.split(c, rf"\Q{separator}\E"), F.lit(index))
+    """Part ``index`` of a split on a literal separator, NULL when there is none or it is empty."""
+    return F.nullif(F.split_part(c, F.lit(separator), F.lit(index + 1)), F.lit(""))
 
 
 def url_surface(url: Column) -> Column:

@@ -24,21 +24,20 @@ def require(df: DataFrame, *subset: str) -> DataFrame:
 def clean_matches(df: DataFrame, *, digits_only: bool = True) -> DataFrame:
     """Typed match rows: year, days, start and end date, head-to-head rates, in/out, surface, ordinals."""
     rate = text.digits if digits_only else text.percent
-    out = null_text(df)
-    return out.withColumns({
+    cleaned = {
+        **{c: text.null_tokens(F.col(c)) for c in ("winnerName", "looserName")},
+        **{c: rate(F.col(c)) for c in ("winnerRate", "looserRate")},
+        **{c: text.number(F.col(c)) for c in ("winnerRateSurface", "looserRateSurface")},
         "year": dates.range_year(F.col("date")),
         "duree": dates.range_days(F.col("date")),
         "start_date": dates.range_start(F.col("date")),
         "end_date": dates.range_end(F.col("date")),
-        "winnerRate": rate(F.col("winnerRate")),
-        "looserRate": rate(F.col("looserRate")),
-        "winnerRateSurface": text.number(F.col("winnerRateSurface")),
-        "looserRateSurface": text.number(F.col("looserRateSurface")),
         "inOut": text.in_out(F.col("surfaceInout")),
         "surface": text.surface_of(F.col("surfaceInout")),
         "phase": rates.phase_ordinal(F.col("phase")),
-        "typeTournament": rates.tournament_points(F.col("typeTournament")),
-    })
+        "typeTournament": rates.tournament_points(text.null_tokens(F.col("typeTournament"))),
+    }
+    return df.withColumns(cleaned)
 
 
 def with_match_id(df: DataFrame) -> DataFrame:
@@ -48,17 +47,18 @@ def with_match_id(df: DataFrame) -> DataFrame:
 
 
 def clean_stats(df: DataFrame, *, percent: str = "fraction", compat: bool = False) -> DataFrame:
-    """Typed player statistics. Cleaned once here, on the dimension, instead of once per match side after the join."""
+    """Typed player statistics. Cleaned once here, on the dimension, instead of once per match side after the join.
+
+    A ``surface`` column, as from the directory level of a lake, is kept; else the surface is read from the url.
+    """
     rate = text.percent if percent == "fraction" else text.digits
-    out = null_text(df.withColumn("surface", text.url_surface(F.col("url"))))
-    return out.withColumns({
+    cleaned = {
+        **{c: text.null_tokens(F.col(c)) for c in ("weight", "startCareer", "age")},
         **{c: rate(F.col(c)) for c in PERCENT_COLUMNS},
-        **{c: text.integer(F.col(c)) for c in COUNT_COLUMNS},
-        **{c: text.thousands(F.col(c), compat) for c in THOUSANDS_COLUMNS},
-        "year": text.integer(F.col("year")),
+        **{c: text.integer(F.col(c)) for c in (*COUNT_COLUMNS, "year", "ranking", "tournCell")},
+        **{c: text.thousands(F.col(c), compat) for c in (*THOUSANDS_COLUMNS, "nextBest")},
+        "surface": F.col("surface") if "surface" in df.columns else text.url_surface(F.col("url")),
         "height": text.first_number(F.col("height")),
         "plays": text.hand(text.clean_plays(F.col("plays"))),
-        "ranking": text.integer(F.col("ranking")),
-        "tournCell": text.integer(F.col("tournCell")),
-        "nextBest": text.number(F.translate(F.col("nextBest"), ",", "")),
-    })
+    }
+    return df.withColumns(cleaned)

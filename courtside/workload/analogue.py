@@ -16,6 +16,9 @@ from courtside.plans.refresh import oriented_matches
 from courtside.schemas import COUNT_COLUMNS, PERCENT_COLUMNS, PHASE_ORDINAL, THOUSANDS_COLUMNS
 
 
+PLAYER_BASE = 10**12
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,7 +29,8 @@ def _hundredths(name: str) -> Column:
 
 
 def _player(suppkey: Column) -> Column:
-    return F.concat(F.lit("p-"), F.lpad(suppkey.cast("string"), 12, "0"))
+    """Text whose order is the order of the keys."""
+    return F.concat(F.lit("p-"), (suppkey + PLAYER_BASE).cast("string"))
 
 
 def _case(c: Column, mapping: dict[str, str | None]) -> Column:
@@ -84,7 +88,7 @@ def matches_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SQL_PLAYER = "'p-' || lpad(CAST({0} AS VARCHAR), 12, '0')"
+_SQL_PLAYER = f"'p-' || CAST({{0}} + {PLAYER_BASE} AS VARCHAR)"
 
 SQL_MATCHES_RAW = f"""
 _value AS (
@@ -120,23 +124,22 @@ matches_raw AS (
 
 
 def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """31 text columns and ``seq``, one row per supplier, year, quarter and surface."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("l_quantity").cast("long")).alias("q"),
-        F.sum(_hundredths("l_discount")).alias("d"),
-        F.sum(_hundredths("l_tax")).alias("t"),
-        F.count_if(F.col("l_returnflag") == "R").alias("r"),
-        F.count_if(F.col("l_returnflag") == "A").alias("a"),
-        F.count_if(F.col("l_linestatus") == "O").alias("o"),
-    )
+    """31 text columns, ``surface`` and ``seq``, one row per supplier, year, quarter and surface."""
+    # joined before it is aggregated: lines of one order rarely share a supplier, so grouping them first saves nothing
+    def flag(test: Column) -> Column:
+        return test.cast("int")
+
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", F.lit(1).alias("n"), F.col("l_quantity").cast("long").alias("q"),
+        _hundredths("l_discount").alias("d"), _hundredths("l_tax").alias("t"),
+        flag(F.col("l_returnflag") == "R").alias("r"), flag(F.col("l_returnflag") == "A").alias("a"),
+        flag(F.col("l_linestatus") == "O").alias("o"))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("qt"),
         _case(F.col("o_orderstatus"), {"O": "hard", "F": "clay", "P": "grass"}).alias("s"))
-    sums = ["n", "q", "d", "t", "r", "a", "o"]
     g = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("l_suppkey", "y", "qt", "s").agg(*[F.sum(c).alias(c) for c in sums])
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_suppkey", "y", "qt", "s")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "q", "d", "t", "r", "a", "o")])
     )
 
     def pct(expr: str) -> Column:
@@ -181,6 +184,7 @@ def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             F.lit("Players/"), txt("y"), F.lit("/"), week, F.lit("/"), F.col("s"), F.lit("/"), player, F.lit(".csv")
         ).alias("seq"),
+        F.col("s").alias("surface"),
     )
 
 
