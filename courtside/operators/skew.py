@@ -16,37 +16,48 @@ from pyspark.sql import types as T
 
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 10_000
-# one slice covers 2**20 consecutive numeric ids, or one leading pair of characters of a text id
-SLICE_BITS = 20
+# a day of a hot key has at most this many slices of a numeric id, or one per pair of characters of a text id
+SLICES = 256
 SLICE_CHARS = 2
 
-_DAY, _SLICE = "_piece_day", "_piece_slice"
+_DAY, _SLICE, _LOW, _HIGH = "_piece_day", "_piece_slice", "_id_low", "_id_high"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys above ``hot_rows``: never more than ``MAX_HOT_KEYS`` rows, whatever the data."""
-    return (
-        df.groupBy(*keys).count().filter(F.col("count") > hot_rows)
-        .orderBy(F.desc("count"), *keys).limit(MAX_HOT_KEYS).select(*keys)
-    )
+def hot_keys(df: DataFrame, keys: Sequence[str], tie_break: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The largest keys above ``hot_rows`` with their range of ids: never more than ``MAX_HOT_KEYS`` rows."""
+    counted = df.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), F.min(tie_break).alias(_LOW), F.max(tie_break).alias(_HIGH))
+    largest = counted.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys).limit(MAX_HOT_KEYS)
+    return largest.select(*keys, _LOW, _HIGH)
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys and rows of hot keys. The broadcast side is bounded by ``MAX_HOT_KEYS`` rows."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
+def _common_prefix(a: Column, b: Column) -> Column:
+    """Number of leading characters two texts share."""
+    lengths = F.sequence(F.lit(0), F.least(F.length(a), F.length(b)))
+    return F.array_max(F.filter(lengths, lambda n: F.substring(a, F.lit(1), n) == F.substring(b, F.lit(1), n)))
 
 
 def _slice(df: DataFrame, tie_break: str) -> Column:
+    """Slice of an id within the range of its key; never decreases with the id."""
+    value, low, high = F.col(tie_break), F.col(_LOW), F.col(_HIGH)
     if isinstance(df.schema[tie_break].dataType, T.StringType):
-        return F.substring(F.col(tie_break), 1, SLICE_CHARS)
-    return F.shiftright(F.col(tie_break).cast("long"), SLICE_BITS)
+        # every id of the key starts with what its smallest and its largest id have in common
+        return F.substring(value, _common_prefix(low, high) + 1, F.lit(SLICE_CHARS))
+    width = F.greatest((high.cast("double") - low) / SLICES, F.lit(1.0))
+    return F.floor((value.cast("double") - low) / width)
+
 
+def split_hot(
+    df: DataFrame, keys: Sequence[str], date: str, tie_break: str, hot_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of hot keys with their piece: columns that never decrease in row order.
 
-def with_pieces(df: DataFrame, date: str, tie_break: str) -> DataFrame:
-    """Piece columns that never decrease in (date, tie_break) order."""
+    The broadcast side is bounded by ``MAX_HOT_KEYS`` rows.
+    """
+    hot = F.broadcast(hot_keys(df, keys, tie_break, hot_rows))
     day = F.coalesce(F.to_date(date), F.lit("0001-01-01").cast("date"))
-    return df.withColumn(_DAY, day).withColumn(_SLICE, _slice(df, tie_break))
+    pieces = df.join(hot, list(keys), "inner").withColumn(_DAY, day).withColumn(_SLICE, _slice(df, tie_break))
+    return df.join(hot, list(keys), "left_anti"), pieces.drop(_LOW, _HIGH)
 
 
 def previous_rows(
@@ -63,9 +74,8 @@ def previous_rows(
     if hot_rows is None:
         return plain(df, keys)
 
-    cold, hot = split_hot(df, keys, hot_rows)
+    cold, hot = split_hot(df, keys, date, tie_break, hot_rows)
     piece = [*keys, _DAY, _SLICE]
-    hot = with_pieces(hot, date, tie_break)
 
     # last k rows of every piece; the row limit is applied map-side before the shuffle
     newest_first = Window.partitionBy(*piece).orderBy(F.desc(date), F.desc(tie_break))
@@ -103,9 +113,8 @@ def running_totals(
     if hot_rows is None:
         return plain(df, keys)
 
-    cold, hot = split_hot(df, keys, hot_rows)
+    cold, hot = split_hot(df, keys, date, tie_break, hot_rows)
     piece = [*keys, _DAY, _SLICE]
-    hot = with_pieces(hot, date, tie_break)
     sums = hot.groupBy(*piece).agg(*[F.sum(e).alias(f"_sum_{n}") for n, e in totals.items()])
     w = before(keys, [_DAY, _SLICE])
     carry = sums.select(*piece, *[F.coalesce(F.sum(f"_sum_{n}").over(w), F.lit(0)).alias(f"_carry_{n}") for n in totals])

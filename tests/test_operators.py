@@ -153,10 +153,15 @@ def test_running_totals_of_hot_keys(spark, tie):
     assert rows(plain, "num") == rows(cut, "num")
 
 
-def test_hot_keys_are_cut_in_several_windows(spark):
+@pytest.mark.parametrize("tie", ["match_id", "num", "named"])
+def test_hot_keys_are_cut_in_ordered_pieces(spark, tie):
     df, _ = player_history(spark)
-    pieces = skew.with_pieces(df.filter("player = 'hot'"), "start_date", "match_id")
-    assert pieces.groupBy("_piece_day", "_piece_slice").count().count() > 12
+    df = df.withColumn("named", F.concat(F.lit("match-"), F.lpad(F.col("num").cast("string"), 5, "0")))
+    cold, hot = skew.split_hot(df, ["player"], "start_date", tie, hot_rows=100)
+    assert cold.filter("player = 'hot'").count() == 0 and hot.filter("player <> 'hot'").count() == 0
+    assert hot.groupBy("_piece_day", "_piece_slice").count().count() > 24  # more than two per day
+    in_row_order = [(r._piece_day, r._piece_slice) for r in hot.orderBy("start_date", tie).collect()]
+    assert in_row_order == sorted(in_row_order)
 
 
 def expected_prefix(data, year, player, k=3):
