@@ -17,10 +17,15 @@ KEYS = ("match_id", "player0", "player1", "year", "start_date", "phase")
 STATS_WANTED = [c for c in schemas.STAT_COLUMNS if c not in ("player", "year", "url")]
 
 
-def consolidate(spark: SparkSession, lake_path: str, target: str, year: int | None = None) -> None:
-    """Lands the one-row files of a year as two tables."""
-    sinks.write_table(lake.read_players(spark, f"{lake_path}/Players", year), f"{target}/players")
-    sinks.write_table(lake.read_tournaments(spark, f"{lake_path}/Tournaments", year), f"{target}/tournaments")
+def consolidate(spark: SparkSession, lake_path: str, store: str, year: int | None = None) -> None:
+    """Lands the one-row files of a year, or of all years, as two tables; other years stay as they are."""
+    for name, rows in (
+        ("players", lake.read_players(spark, f"{lake_path}/Players", year)),
+        ("tournaments", lake.read_tournaments(spark, f"{lake_path}/Tournaments", year)),
+    ):
+        kept = [c for c in rows.columns if not c.startswith("_")]
+        season = rows.select(*kept, F.col("_year").cast("int").alias("season"))
+        sinks.write_table(season, f"{store}/{name}", ["season"], keep_other_partitions=True)
 
 
 def oriented_matches(raw: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ TOURNAMENT_LAYOUT = ("year", "type", "surfaceInout", "tournament")
 def path_part(path: Column, from_end: int) -> Column:
     """Directory level of a file path, counted from the file name (0), as ``value`` or ``level=value``."""
     level = F.element_at(F.split(path, "/"), -(from_end + 1))
-    decoded = F.url_decode(F.replace(level, F.lit("+"), F.lit("%2B")))
+    decoded = F.try_url_decode(F.replace(level, F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(decoded, "^[A-Za-z_]+=", "")
 
 

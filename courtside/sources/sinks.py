@@ -14,9 +14,13 @@ VERSION = "version"
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite",
+    keep_other_partitions: bool = False,
 ) -> None:
-    """Writes a table, by default as parquet. Partition columns are spread evenly first, so that a directory does not
-    get one small file from every task and a large one is not written by a single task."""
+    """Writes a table, by default as parquet.
+
+    Partition columns are spread evenly first, so that a directory does not get one small file from every task and a
+    large one is not written by a single task. ``keep_other_partitions`` replaces only the directories that get rows.
+    """
     if partition_by:
         # rebalance keeps rows of a directory together, and adaptive execution splits the directories that are large
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
@@ -26,6 +30,8 @@ def write_table(
         writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if keep_other_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 

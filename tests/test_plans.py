@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from courtside import schemas
 from courtside.operators import form, model, orient
 from courtside.operators.skew import rows_per_key_at_most
-from courtside.plans import prediction, refresh, training
-from courtside.session import materialize
+from courtside.plans import prediction, refresh, task, training
+from courtside.session import materialize, scratch_path
 from courtside.workload import analogue as a
+from courtside.workload import feeds
 
 
 def plan(df):
@@ -61,7 +62,6 @@ def test_train_and_predict(spark, raw, features):
         F.lit("open").alias("tournement"), F.col("date").alias("start"), F.lit(2.0).alias("oddJoueur0"),
         F.lit(1.8).alias("oddJoueur1")).limit(50)
     lookup = spark.createDataFrame([("open", "Hard", "Outdoor", "250")], "name string, surface string, inOut string, points string")
-    history = history.withColumn("surface", F.lower("surface"))
     form_rows = features.join(history.select("match_id", "seq"), "match_id")
     built = prediction.prediction_rows(upcoming, lookup, stats, history, form_rows, as_of_year=2020)
     assert built.columns[5:] == schemas.FEATURES
@@ -71,6 +71,33 @@ def test_train_and_predict(spark, raw, features):
     assert got and all(abs(r.probability_score_player_0 + r.probability_score_player_1 - 1) < 1e-9 for r in got)
 
 
+def test_the_three_entries(spark, sf_dir, tmp_path):
+    """Landed files to a prediction table, twice."""
+    store = scratch_path(spark, "store")
+    for name, root in (("Players", feeds._land_players(spark, sf_dir)), ("Tournaments", feeds._land_matches(spark, sf_dir))):
+        (tmp_path / name).symlink_to(root)
+    task.refresh_data(spark, str(tmp_path), store)
+    features = task.features(spark, store)
+    assert features.count() == a.matches(spark, sf_dir).count()
+    # landing one year again changes nothing
+    refresh.consolidate(spark, str(tmp_path), store, 1998)
+    assert task.matches(spark, store).count() == features.count()
+
+    assert 0.5 < task.train_model(spark, store, maxIter=10) <= 1
+    feed = [feeds._parsed(make(spark, sf_dir), schema) for make, schema in (
+        (feeds.group_documents, schemas.FEED_GROUPS), (feeds.event_documents, schemas.FEED_EVENTS),
+        (feeds.offer_documents, schemas.FEED_OFFERS))]
+    names = feed[0].select(F.explode("group.groups").alias("g")).select(F.explode("g.groups").alias("t"))
+    lookup = names.select(
+        F.col("t.name").alias("name"), F.lit("Hard").alias("surface"), F.lit("Outdoor").alias("inOut"),
+        F.lit("500").alias("points"))
+    for version in (1, 1, 2):
+        task.predict_upcoming(spark, store, *feed, lookup, as_of_year=2001, version=version)
+    current = task.predictions(spark, store)
+    assert current.count() == current.select("complete_id").distinct().count() > 0
+    assert set(schemas.PREDICTIONS.fieldNames()) == set(current.columns)
+
+
 @pytest.mark.parametrize("algorithm", ["boosted", "perceptron"])
 def test_other_classifiers(features, algorithm):
     rows = features.dropna("any", subset=[f"`{c}`" for c in schemas.FEATURES])
