@@ -83,7 +83,6 @@ OFFER_LABEL = "Match Odds"
 
 RANKING_DEFAULT = 300.0
 WIN_MEAN_DEFAULT = 200.0
-RATE_DEFAULT = 50.0
 
 # --- schemas -------------------------------------------------------------------------------------------------------
 
@@ -94,8 +93,6 @@ def text_schema(columns: list[str], index: bool = False) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in names])
 
 
-MATCHES_RAW = text_schema(MATCH_COLUMNS)
-STATS_RAW = text_schema(STAT_COLUMNS)
 
 TOURNAMENT_INFO = T.MapType(
     T.StringType(),
