@@ -23,12 +23,12 @@ SLICE_CHARS = 2
 _DAY, _SLICE, _LOW, _HIGH = "_piece_day", "_piece_slice", "_id_low", "_id_high"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], tie_break: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys above ``hot_rows`` with their range of ids: never more than ``MAX_HOT_KEYS`` rows."""
-    counted = df.groupBy(*keys).agg(
-        F.count("*").alias("_rows"), F.min(tie_break).alias(_LOW), F.max(tie_break).alias(_HIGH))
-    largest = counted.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys).limit(MAX_HOT_KEYS)
-    return largest.select(*keys, _LOW, _HIGH)
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The largest keys above ``hot_rows``: never more than ``MAX_HOT_KEYS`` rows, whatever the data."""
+    return (
+        df.groupBy(*keys).count().filter(F.col("count") > hot_rows)
+        .orderBy(F.desc("count"), *keys).limit(MAX_HOT_KEYS).select(*keys)
+    )
 
 
 def _common_prefix(a: Column, b: Column) -> Column:
@@ -52,11 +52,14 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, and rows of hot keys with their piece: columns that never decrease in row order.
 
-    The broadcast side is bounded by ``MAX_HOT_KEYS`` rows.
+    Both broadcast sides have one row per hot key, at most ``MAX_HOT_KEYS``.
     """
-    hot = F.broadcast(hot_keys(df, keys, tie_break, hot_rows))
+    hot = F.broadcast(hot_keys(df, keys, hot_rows))
+    ranges = df.join(hot, list(keys), "left_semi").groupBy(*keys).agg(
+        F.min(tie_break).alias(_LOW), F.max(tie_break).alias(_HIGH))
     day = F.coalesce(F.to_date(date), F.lit("0001-01-01").cast("date"))
-    pieces = df.join(hot, list(keys), "inner").withColumn(_DAY, day).withColumn(_SLICE, _slice(df, tie_break))
+    ranged = df.join(F.broadcast(ranges), list(keys), "inner")
+    pieces = ranged.withColumn(_DAY, day).withColumn(_SLICE, _slice(df, tie_break))
     return df.join(hot, list(keys), "left_anti"), pieces.drop(_LOW, _HIGH)
 
 
