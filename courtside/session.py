@@ -1,14 +1,20 @@
-"""Session helpers: a local session for tests and bench, and shared scratch tables."""
+"""Session helpers: a local session for tests and bench, shared scratch tables, and the package on the executors."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: the work folder of local sessions; a cluster names its own in spark.checkpoint.dir
+LOCAL_WORK_DIR = os.environ.get("COURTSIDE_WORK_DIR", "/tmp/courtside-work")
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", work_dir: str = LOCAL_WORK_DIR) -> SparkSession:
     """Single-JVM session for tests and benchmarks; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -19,25 +25,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", work_dir)
         .getOrCreate()
     )
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. A local session without one gets a fresh temporary folder."""
+    """The cluster's checkpoint folder. A local session without one, as in a smoke test, gets the local work folder."""
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="courtside-"))
-        folder = context.getCheckpointDir()
+        folder = LOCAL_WORK_DIR
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no earlier run has used. It is removed when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -45,3 +54,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable on the executors, once per application, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_courtside_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    # the driver serves the file to the executors itself
+    archive = os.path.join(tempfile.mkdtemp(prefix="courtside-code-"), "courtside_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, str(Path(root.name) / source.relative_to(root)))
+    context.addPyFile(archive)
+    context._courtside_shipped = True
