@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import byte_bpe, html_extract, license_scan, secret_scan, url_filter
+from courtside.llm import (
+    byte_bpe, fingerprint, html_extract, license_scan, minhash_dedup, mixing, quality_rules, secret_scan, url_filter,
+)
 from courtside.workload.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -69,6 +71,28 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, "page_id")
 
 
+@query("op5_minhash_dedup")
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash_dedup.components(documents, settings=minhash_dedup.Settings(words=3, percent=85))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprint.compare(documents).select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", fingerprint.as_text(F.col("fingerprint")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       "base_failed", "kept")
+
+
 def vocabulary() -> tuple[str, str]:
     """The rank file of the queries and the pattern that goes with it."""
     import public_tokenizers
@@ -98,3 +122,56 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(secret_scan.spans_text(F.col("found.strong")), 256).alias("base_sha256"),
         secret_scan.spans_text(F.concat("found.strong", "found.linked")).alias("spans"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id AS id, md5(coalesce(text, '')) AS text_key, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')) AS n_tokens, count(*) AS copies
+  FROM documents GROUP BY ALL
+), sources AS (
+  SELECT source, sum(n_tokens * copies)::BIGINT AS tokens FROM rows GROUP BY source
+), total AS (
+  SELECT sum(tokens)::DOUBLE AS t, count(*) AS n, max(tokens)::DOUBLE AS hi, min(tokens)::DOUBLE AS lo,
+         list(tokens / (SELECT sum(tokens)::DOUBLE FROM sources)) AS p
+  FROM sources WHERE tokens > 0
+), bisect(step, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, if(fits, b.lo, mid), if(fits, mid, b.hi)
+  FROM (
+    SELECT step, b.lo, b.hi, (b.lo + b.hi) / 2 AS mid,
+           list_sum(list_transform(p, lambda x: pow(x, (b.lo + b.hi) / 2))) AS z,
+           list_sum(list_transform(p, lambda x: pow(x, (b.lo + b.hi) / 2) * ln(x))) AS l,
+           ln(z) - mid * l / z <= 0.97 * ln(total.n) AND pow(total.hi / total.lo, 1 - mid) <= 2.0 AS fits
+    FROM bisect b, total WHERE step < 40
+  ) b
+), exponent AS (
+  SELECT round(hi, 6) AS t FROM bisect WHERE step = 40
+), weighted AS (
+  SELECT source, tokens, pow(tokens / total.t, exponent.t) AS raised FROM sources, total, exponent
+), summed AS (
+  SELECT sum(raised) FILTER (tokens > 0) AS z, max(tokens / raised) FILTER (tokens > 0) AS most FROM weighted
+), quotas AS (
+  SELECT source, tokens, if(tokens > 0, round(raised / z * (most * z))::BIGINT, 0) AS quota FROM weighted, summed
+), plan AS (
+  SELECT source, if(tokens > 0, quota // tokens, 1) AS passes, if(tokens > 0, quota % tokens, 0) AS rest FROM quotas
+), used AS (
+  SELECT id, text_key, rows.source, n_tokens, copies, block, passes, rest,
+         md5(concat_ws(':', '17', block, id, text_key)) AS key
+  FROM rows JOIN plan ON rows.source IS NOT DISTINCT FROM plan.source,
+       unnest(range(0, passes + if(rest > 0, 1, 0))) AS u(block)
+), placed AS (
+  SELECT *, row_number() OVER w AS position, sum(n_tokens * copies) OVER w AS filled
+  FROM used WINDOW w AS (PARTITION BY source, block ORDER BY key ROWS UNBOUNDED PRECEDING)
+)
+SELECT id AS doc_id, source, block::BIGINT AS block, position::BIGINT AS position, n_tokens::BIGINT AS n_tokens
+FROM placed, unnest(range(0, copies)) AS c(copy) WHERE block < passes OR filled <= rest
+"""
+
+
+@query("op9_source_mixing", OP9_SQL)
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
+        F.col("id").alias("doc_id"), "source", "block", F.col("position").cast("long").alias("position"), "n_tokens")
