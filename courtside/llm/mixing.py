@@ -2,8 +2,8 @@
 
 A source's share of tokens is raised to an exponent and normalised: ``w = p ** t / sum(p ** t)``. At 1 the weights are the
 shares, at 0 all sources weigh the same. The exponent is the least one between 0 and 1 that keeps the entropy of the weights at
-or below its target and no source above the repetition limit; it is found by narrowing an interval, each round one
-aggregate over the table of sources that tries ``SECTIONS`` exponents at once.
+or below its target and no source above the repetition limit. It is found by bisection, an interval cut
+into ``SECTIONS`` parts by one aggregate over the table of sources each round.
 
 Weights are realised exactly, as passes over permuted blocks: a source's quota of tokens is its weight's share of the budget;
 each whole pass is a block with all its documents in an order of its own, the last block is cut where the quota is used up.
@@ -36,8 +36,8 @@ RANGE_ROWS = 1000
 
 @dataclass(frozen=True)
 class Target:
-    #: entropy of the weights as a share of the largest possible one, log of the number of sources
-    entropy: float = 0.97
+    #: how far the entropy of the weights goes from that of the shares (0) to the largest possible one, of equal weights (1)
+    entropy: float = 0.5
     #: passes over a source at most
     repetition: float = 2.0
     #: tokens in all; None: as many as pass every source once
@@ -56,8 +56,9 @@ def exponent(sources: DataFrame, target: Target) -> float:
     total = sources.agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"), F.max("tokens").alias("hi"), F.min("tokens").alias("lo")).first()
     if not total["n"] or total["n"] == 1 or total["hi"] == total["lo"]:
         return 1.0
-    p = F.col("tokens") / F.lit(total["t"])
-    wanted, ratio = target.entropy * math.log(total["n"]), total["hi"] / total["lo"]
+    p = F.col("tokens") / F.lit(float(total["t"]))
+    natural = sources.agg(F.sum(-p * F.log(p)).alias("h")).first()["h"]
+    wanted, ratio = natural + target.entropy * (math.log(total["n"]) - natural), total["hi"] / total["lo"]
 
     def fits(t: float, z: float, zlog: float) -> bool:
         # entropy of p**t / z, and passes over the smallest source

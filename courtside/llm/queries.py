@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.llm import (
-    byte_bpe, fingerprint, html_extract, license_scan, minhash_dedup, mixing, quality_rules, secret_scan, url_filter,
+    byte_bpe, fingerprint, html_extract, license_scan, minhash_dedup, mixing, quality_model, quality_rules, secret_scan, url_filter,
 )
 from courtside.workload.registry import Query
 
@@ -71,6 +71,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, "page_id")
 
 
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op5_minhash_dedup")
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -133,7 +139,8 @@ WITH RECURSIVE rows AS (
   SELECT source, sum(n_tokens * copies)::BIGINT AS tokens FROM rows GROUP BY source
 ), total AS (
   SELECT sum(tokens)::DOUBLE AS t, count(*) AS n, max(tokens)::DOUBLE AS hi, min(tokens)::DOUBLE AS lo,
-         list(tokens / (SELECT sum(tokens)::DOUBLE FROM sources)) AS p
+         list(tokens / (SELECT sum(tokens)::DOUBLE FROM sources)) AS p,
+         sum(-tokens / (SELECT sum(tokens)::DOUBLE FROM sources) * ln(tokens / (SELECT sum(tokens)::DOUBLE FROM sources))) AS h
   FROM sources WHERE tokens > 0
 ), bisect(step, lo, hi) AS (
   SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
@@ -143,7 +150,7 @@ WITH RECURSIVE rows AS (
     SELECT step, b.lo, b.hi, (b.lo + b.hi) / 2 AS mid,
            list_sum(list_transform(p, lambda x: pow(x, (b.lo + b.hi) / 2))) AS z,
            list_sum(list_transform(p, lambda x: pow(x, (b.lo + b.hi) / 2) * ln(x))) AS l,
-           ln(z) - mid * l / z <= 0.97 * ln(total.n) AND pow(total.hi / total.lo, 1 - mid) <= 2.0 AS fits
+           ln(z) - mid * l / z <= h + 0.5 * (ln(total.n) - h) AND pow(total.hi / total.lo, 1 - mid) <= 2.0 AS fits
     FROM bisect b, total WHERE step < 40
   ) b
 ), exponent AS (
