@@ -167,7 +167,7 @@ def fit(rows: DataFrame) -> Model:
     m = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("share"), *[F.avg(c).alias(f"a{k}") for k, c in enumerate(columns)],
                  *[F.stddev_pop(c).alias(f"s{k}") for k, c in enumerate(columns)]).first()
     share = 0.5 if m["share"] is None else m["share"]
-    if not 0 < share < 1:
+    if not m["n"] or not 0 < share < 1:
         return Model([0.0] * width, [1.0] * width, [0.0] * (FEATURES + width + 1), [0.0], [share])
     center = [m[f"a{k}"] for k in range(width)]
     scale = [max(m[f"s{k}"], 1e-6) for k in range(width)]

@@ -54,9 +54,10 @@ def add_from_text(
     ship_package(df.sparkSession)
     names = df.columns if keep is None else keep
     kept = [f for f in df.schema.fields if f.name in names]
-    passing = [quoted(f.name) for f in kept]
-    source = df.select(*passing, quoted(text).cast("string").alias(free_name(df, "_whole_text")))
-    schema = T.StructType([*kept, T.StructField(into, fields, False)])
+    # plain names on the way: the columns of a table may have any
+    places = [f"c{k}" for k in range(len(kept))]
+    source = df.select(*[quoted(f.name).alias(c) for f, c in zip(kept, places)], quoted(text).cast("string").alias("whole_text"))
+    schema = T.StructType([*(T.StructField(c, f.dataType, f.nullable) for f, c in zip(kept, places)), T.StructField("made", fields, False)])
     types = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,6 +68,6 @@ def add_from_text(
                 columns = work(["" if t is None else t for t in part.column(at).to_pylist()])
                 made = pa.StructArray.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names=fields.names)
-                yield pa.RecordBatch.from_arrays([*part.columns[:at], made], names=[*(f.name for f in kept), into])
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], made], names=[*places, "made"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*[f.name for f in kept], into)
