@@ -30,15 +30,17 @@ def feed_events(events: DataFrame, tournaments: DataFrame) -> DataFrame:
 
 
 def feed_offers(offers: DataFrame) -> DataFrame:
-    """Match offers with the name and start of their own event, in feed order."""
-    flat = offers.select("events", F.posexplode("betOffers").alias("position", "bet"))
+    """Match offers with the name and start of their own event, and when they landed."""
+    if "landed" not in offers.columns:
+        offers = offers.withColumn("landed", F.lit(""))
+    flat = offers.select("landed", "events", F.posexplode("betOffers").alias("position", "bet"))
     event = F.get(F.filter("events", lambda e: e["id"] == F.col("bet.eventId")), F.lit(0))
     return (
         flat.withColumn("event", event)
         .filter(F.col("event").isNotNull() & F.col("bet.criterion.label").contains(OFFER_LABEL))
         .select(
             F.col("bet.eventId").alias("eventId"), F.col("event.englishName").alias("englishName"),
-            F.col("event.start").alias("start"), "position",
+            F.col("event.start").alias("start"), "landed", "position",
             F.get("bet.outcomes", F.lit(0))["oddsFractional"].alias("odds0"),
             F.get("bet.outcomes", F.lit(1))["oddsFractional"].alias("odds1"))
     )
@@ -71,8 +73,8 @@ def offer_checks() -> dict[str, Column]:
     }
 
 
-def latest_offers(offers: DataFrame, order: Sequence[str] = ("eventId", "position")) -> DataFrame:
-    """Last offer per pair of players."""
+def latest_offers(offers: DataFrame, order: Sequence[str] = ("landed", "eventId", "position")) -> DataFrame:
+    """Last offer per pair of players: of the poll that landed last, and in it of the newest event."""
     cols = [c for c in offers.columns if c != "key"]
     return last_row(offers, ["key"], F.struct(*order), cols)
 

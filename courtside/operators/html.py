@@ -24,37 +24,17 @@ def _class(name: str, inner: str) -> str:
 
 
 _TEXT = r"\s*([^<]*?)\s*<"
-_LINK = r'.*?<a[^>]*href="([^"]*)"'
 
-# fixed values: class names of the page layouts
-INDEX_PAGE = {
-    "urls": Selector(_class("tourney-details", _LINK)),
-    "inOut": Selector(r'(?s)class="item-details"[^>]*>\s*([^<]*?)\s*<span'),
-    "surface": Selector(r'(?s)class="item-details"[^>]*>[^<]*<span[^>]*>\s*([^<]*?)\s*</span>'),
-}
-TOURNAMENT_PAGE = {
-    "names": Selector(_class("tourney-result with-icons", _LINK)),
-    "dates": Selector(_class("tourney-dates", _TEXT)),
-    "badges": Selector(r'(?s)class="tourney-badge-wrapper"[^>]*>.*?<img[^>]*src="([^"]*)"'),
-    "rounds": Selector(r"(?s)<thead>\s*<tr>\s*<th[^>]*>\s*([^<]*?)\s*</th>"),
-    "links": Selector(_class("day-table-button", _LINK)),
-}
-VERSUS_PAGE = {
-    "winnerRate": Selector(r'(?s)class="player-left-wins"[^>]*>.*?<div>\s*<div>[^<]*</div>\s*<div>\s*([^<]*?)\s*</div>'),
-    "looserRate": Selector(r'(?s)class="player-right-wins"[^>]*>.*?<div>\s*<div>[^<]*</div>\s*<div>\s*([^<]*?)\s*</div>'),
-    "winnerLink": Selector(_class("player-left-name", _LINK)),
-    "looserLink": Selector(_class("player-right-name", _LINK)),
-    "surfaces": Selector(r'(?s)<td class="surface">\s*<span>\s*([^<]*?)\s*</span>'),
-    "winners": Selector(r'(?s)<td class="winner">\s*<a[^>]*href="([^"]*)"'),
-}
-RANKING_PAGE = {
-    "links": Selector(_class("player-cell", _LINK)),
-    "ranking": Selector(_class("rank-cell", _TEXT)),
-    "points": Selector(_class("points-cell", r"\s*<a[^>]*>\s*([^<]*?)\s*<")),
-    "tournCell": Selector(_class("tourn-cell", r"\s*<a[^>]*>\s*([^<]*?)\s*<")),
-    "pointsDropping": Selector(_class("pts-cell", _TEXT)),
-    "nextBest": Selector(_class("next-cell", _TEXT)),
-}
+# fixed values: class names, cell numbers (from 0) and ids of the page layouts
+INDEX_TABLE, INDEX_LINK, INDEX_PLACE_CELL = "results-archive-table mega-table", "tourney-details", 4
+RESULT_ROW, RESULT_NAME_CELL, DATES, BADGE = "tourney-result with-icons", 1, "tourney-dates", "tourney-badge-wrapper"
+ROUNDS_TABLE, ROUND_LINK = "day-table", "day-table-button"
+WINS, NAMES = {"winner": "player-left-wins", "looser": "player-right-wins"}, {"winner": "player-left-name", "looser": "player-right-name"}
+MEETINGS_TABLE, MEETING_SURFACE_CELL, MEETING_WINNER_CELL = "modal-event-breakdown-table", 2, 4
+RANKING_CELLS = {
+    "ranking": "rank-cell", "points": "points-cell", "tournCell": "tourn-cell", "pointsDropping": "pts-cell", "nextBest": "next-cell"}
+RANKING_LINK = "player-cell"
+FACTS, FACTS_FILTER = "playerMatchFactsContainer", "playerMatchFactsFilter"
 PLAYER_PAGE = {
     "weight": Selector(_class("table-weight-lbs", _TEXT)),
     "height": Selector(_class("table-height-cm-wrapper", _TEXT)),
@@ -62,11 +42,6 @@ PLAYER_PAGE = {
     "big": Selector(_class("table-big-value", _TEXT)),
     "values": Selector(_class("table-value", r"([^<]*)<")),
 }
-ODDS_PAGE = {
-    "tournement": Selector(r"(?s)<span>\s*<span>[^<]*</span>\s*<span>\s*([^<]*?)\s*</span>"),
-    "odds": Selector(r"(?s)<td>\s*<b>\s*([^<]*?)\s*</b>"),
-    "player": Selector(r"(?s)<td>\s*<a[^>]*>\s*([^<]*?)\s*</a>"),
-}
 
 # fixed values: statistic -> (table, row) of the two tables on a player page
 PLAYER_CELLS = {
@@ -99,39 +74,86 @@ def exploded(df: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(*kept, "position", *[F.col("_item")[c].alias(c) for c in columns])
 
 
+def every(part: Column, pattern: str, group: int = 1) -> Column:
+    return F.regexp_extract_all(part, F.lit(pattern), F.lit(group))
+
+
+def first_in(part: Column, pattern: str, group: int = 1) -> Column:
+    """The first match, NULL when there is none."""
+    return F.nullif(F.regexp_extract(part, pattern, group), F.lit(""))
+
+
+def elements(part: Column, name: str, tag: str = r"\w+") -> Column:
+    """Inner markup of every element with exactly this class, up to its own end tag."""
+    return every(part, rf'(?s)<({tag})\b[^>]*\bclass="{name}"[^>]*>(.*?)</\1>', 2)
+
+
+def rows_of(part: Column) -> Column:
+    return every(part, r"(?s)<tr\b[^>]*>(.*?)</tr>")
+
+
+def cells_of(row: Column) -> Column:
+    return every(row, r"(?s)<td\b[^>]*>(.*?)</td>")
+
+
+def link_in(part: Column) -> Column:
+    """Address of the first link inside a part that was cut out before, so the match cannot leave it."""
+    return text.strip(first_in(part, r'(?s)<a\b[^>]*\bhref="([^"]*)"'))
+
+
+def text_of(part: Column) -> Column:
+    """Text of a part without its tags, NULL when nothing is left."""
+    return F.nullif(text.strip(F.regexp_replace(part, "<[^>]*>", "")), F.lit(""))
+
+
+def _known(items: Column) -> Column:
+    return F.filter(items, lambda x: x.isNotNull())
+
+
 def index_rows(pages: DataFrame, host: str) -> DataFrame:
-    """Tournament index page: one row per tournament with its absolute url and in/out + surface text."""
-    rows = exploded(extract(pages.select("html"), INDEX_PAGE), ["urls", "inOut", "surface"])
-    return rows.filter("urls IS NOT NULL AND inOut IS NOT NULL").select(
-        F.concat(F.lit(host), text.strip_cell(F.col("urls"))).alias("url"),
-        F.concat_ws(" ", "inOut", "surface").alias("surfaceInout"))
+    """Tournament index page: one row per table row with a tournament link, with its absolute url and in/out + surface text."""
+    table = F.concat_ws("", elements(F.col("html"), INDEX_TABLE, "table"))
+    rows = pages.select(F.explode(rows_of(table)).alias("row"))
+    link = F.get(_known(F.transform(elements(F.col("row"), INDEX_LINK), link_in)), F.lit(0))
+    place = F.get(cells_of(F.col("row")), F.lit(INDEX_PLACE_CELL))
+    inside = first_in(place, r"(?s)<div\b[^>]*>\s*<div\b[^>]*>\s*([^<]*?)\s*<")
+    surface = first_in(place, r"(?s)<span\b[^>]*>\s*([^<]*?)\s*</span>")
+    return rows.select(F.concat(F.lit(host), link).alias("url"), F.concat_ws(" ", inside, surface).alias("surfaceInout")).filter(
+        "url IS NOT NULL")
 
 
 def tournament_links(pages: DataFrame, host: str, *, compat: bool = False) -> DataFrame:
     """Tournament page: one row per match link with name, date, badge and round."""
-    page = extract(pages.select("url", "html"), TOURNAMENT_PAGE)
-    links = F.transform(
-        arrays.keep_containing(F.transform("links", lambda x: F.concat(F.lit(host), text.strip_cell(x))), "players"),
-        lambda x: x)
-    rows = page.withColumn("links", links).select(
-        "url", "names", "dates", "badges", "rounds", F.posexplode("links").alias("position", "link"))
-    return rows.select(
-        "url", "link", "position",
-        text.link_name(F.get("names", F.lit(0))).alias("name"),
-        F.get("dates", F.lit(0)).alias("date"),
-        text.badge_points(F.get("badges", F.lit(0))).alias("typeTournament"),
-        arrays.round_of(F.col("rounds"), F.col("position"), compat).alias("phase"))
+    page = F.col("html")
+    result = F.get(elements(page, RESULT_ROW, "tr"), F.lit(0))
+    heads = F.transform(elements(page, ROUNDS_TABLE, "table"), lambda t: every(t, r"(?s)<thead\b[^>]*>(.*?)</thead>"))
+    rounds = F.flatten(F.transform(F.flatten(heads), lambda h: F.transform(every(h, r"(?s)<th\b[^>]*>(.*?)</th>"), text_of)))
+    links = _known(F.transform(elements(page, ROUND_LINK), lambda x: F.concat(F.lit(host), link_in(x))))
+    rows = pages.select(
+        "url", text.link_name(link_in(F.get(cells_of(result), F.lit(RESULT_NAME_CELL)))).alias("name"),
+        first_in(page, _class(DATES, _TEXT)).alias("date"),
+        text.badge_points(first_in(F.get(elements(page, BADGE), F.lit(0)), r'(?s)<img\b[^>]*\bsrc="([^"]*)"')).alias("typeTournament"),
+        _known(rounds).alias("rounds"), arrays.keep_containing(links, "players").alias("links"))
+    return rows.select("url", "name", "date", "typeTournament", "rounds", F.posexplode("links").alias("position", "link")).select(
+        "url", "link", "position", "name", "date", "typeTournament", arrays.round_of(F.col("rounds"), F.col("position"), compat).alias("phase"))
+
+
+def _wins(page: Column, name: str) -> Column:
+    """Second inner box of a player's block; the block ends where the next player block or table starts."""
+    block = first_in(page, rf'(?s)class="{name}"[^>]*>(.*?)(?:class="player-|<table\b|</body|$)')
+    return text_of(F.get(every(block, r"(?s)<div\b[^>]*>((?:(?!</?div\b).)*)</div>"), F.lit(1)))
 
 
 def versus_rows(pages: DataFrame, links: DataFrame) -> DataFrame:
     """Head-to-head page joined with the tournament page that links to it: one raw match row."""
-    page = extract(pages.select(F.col("url").alias("link"), "html"), VERSUS_PAGE)
-    rows = page.select(
-        "link",
-        F.get("winnerRate", F.lit(0)).alias("winnerRate"), F.get("looserRate", F.lit(0)).alias("looserRate"),
-        text.link_name(F.get("looserLink", F.lit(0))).alias("looserName"),
-        text.link_name(F.get("winnerLink", F.lit(0))).alias("winnerName"),
-        "surfaces", F.transform("winners", text.link_name).alias("winners"))
+    page = F.col("html")
+    meetings = rows_of(F.concat_ws("", elements(page, MEETINGS_TABLE, "table")))
+    rows = pages.select(
+        F.col("url").alias("link"),
+        *[_wins(page, name).alias(f"{side}Rate") for side, name in WINS.items()],
+        *[text.link_name(link_in(F.get(elements(page, name), F.lit(0)))).alias(f"{side}Name") for side, name in NAMES.items()],
+        F.transform(meetings, lambda r: first_in(F.get(cells_of(r), F.lit(MEETING_SURFACE_CELL)), r"(?s)<span\b[^>]*>\s*([^<]*?)\s*</span>")).alias("surfaces"),
+        F.transform(meetings, lambda r: text.link_name(link_in(F.get(cells_of(r), F.lit(MEETING_WINNER_CELL))))).alias("winners"))
     joined = rows.join(links, "link")
     share = {
         f"{side}RateSurface": arrays.surface_share(
@@ -144,25 +166,35 @@ def versus_rows(pages: DataFrame, links: DataFrame) -> DataFrame:
         F.col("link").alias("url"))
 
 
-def ranking_rows(pages: DataFrame, host: str, last_rank: int = 300) -> DataFrame:
-    """Ranking page: one row per player link with the five ranking columns, down to ``last_rank``."""
-    columns = ["links", "ranking", "points", "tournCell", "pointsDropping", "nextBest"]
-    rows = exploded(extract(pages.select("html"), RANKING_PAGE), columns)
-    return rows.filter(text.integer(F.col("ranking")) <= last_rank).select(
-        F.replace(F.concat(F.lit(host), "links"), F.lit("overview"), F.lit("player-stats")).alias("url"), *columns[1:])
+def ranking_rows(pages: DataFrame, host: str, last_rank: int | None = 300) -> DataFrame:
+    """Ranking page: one row per table row with a player link, with the five ranking columns, down to ``last_rank``.
+
+    A tied rank (``2T``) counts by its digits; a rank without digits is kept.
+    """
+    rows = pages.select(F.explode(rows_of(F.col("html"))).alias("row"))
+    link = link_in(F.get(elements(F.col("row"), RANKING_LINK), F.lit(0)))
+    cells = {c: text_of(F.get(elements(F.col("row"), name), F.lit(0))) for c, name in RANKING_CELLS.items()}
+    url = F.replace(F.concat(F.lit(host), link), F.lit("overview"), F.lit("player-stats"))
+    out = rows.select(url.alias("url"), *[v.alias(c) for c, v in cells.items()]).filter("url IS NOT NULL")
+    return out if last_rank is None else out.filter(F.coalesce(text.first_number(F.col("ranking")) <= last_rank, F.lit(True)))
 
 
 def table_cell(tables: Column, table: int, row: int) -> Column:
     """Second cell of a table row; tables and rows are found by their tags."""
-    rows = F.regexp_extract_all(F.get(tables, F.lit(table)), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    cells = F.regexp_extract_all(F.get(rows, F.lit(row)), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1))
-    return text.strip_cell(F.get(cells, F.lit(1)))
+    return text_of(F.get(cells_of(F.get(rows_of(F.get(tables, F.lit(table))), F.lit(row))), F.lit(1)))
+
+
+def listed_years(pages: DataFrame) -> DataFrame:
+    """Player page: url and the years it has statistics for, without the first entry, which stands for all years."""
+    part = first_in(F.col("html"), rf'(?s)id="{FACTS_FILTER}"[^>]*>(.*?)</ul>')
+    items = F.transform(every(part, r"(?s)<li\b[^>]*>(.*?)</li>"), lambda x: text_of(x).try_cast("int"))
+    return pages.select("url", _known(arrays.without_first(items)).alias("years"))
 
 
 def player_rows(pages: DataFrame) -> DataFrame:
     """Player page: 18 statistic cells and the biography fields, keyed by url."""
-    body = F.regexp_extract("html", r'(?s)id="playerMatchFactsContainer"[^>]*>(.*)$', 1)
-    tables = F.regexp_extract_all(body, F.lit(r"(?s)<table[^>]*>(.*?)</table>"), F.lit(1))
+    body = F.regexp_extract("html", rf'(?s)id="{FACTS}"[^>]*>(.*)$', 1)
+    tables = every(body, r"(?s)<table\b[^>]*>(.*?)</table>")
     cells = pages.withColumn("_tables", tables).withColumns({
         c: table_cell(F.col("_tables"), *at) for c, at in PLAYER_CELLS.items()}).drop("_tables")
     bio = extract(cells, PLAYER_PAGE)
@@ -173,8 +205,18 @@ def player_rows(pages: DataFrame) -> DataFrame:
 
 
 def odds_rows(pages: DataFrame) -> DataFrame:
-    """Odds archive page as three parallel lists."""
-    return extract(pages.select("url", "html"), ODDS_PAGE)
+    """Odds archive page as three parallel lists, from the articles of its main part."""
+    main = F.regexp_extract("html", r'(?s)<div\b[^>]*\bid="main"[^>]*>(.*)$', 1)
+    articles = every(main, r"(?s)<article\b[^>]*>(.*?)</article>")
+    rows = pages.select("url", articles.alias("_articles"))
+    cells = F.flatten(F.transform("_articles", lambda a: F.flatten(F.transform(every(a, r"(?s)<table\b[^>]*>(.*?)</table>"), cells_of))))
+
+    def inside(tag: str) -> Column:
+        return F.flatten(F.transform(cells, lambda c: every(c, rf"(?s)<{tag}\b[^>]*>\s*([^<]*?)\s*</{tag}>")))
+
+    names = F.flatten(F.transform("_articles", lambda a: every(
+        a, r"(?s)<span\b[^>]*>\s*<span\b[^>]*>[^<]*</span>\s*<span\b[^>]*>\s*([^<]*?)\s*</span>")))
+    return rows.select("url", names.alias("tournement"), inside("b").alias("odds"), inside("a").alias("player"))
 
 
 def ranking_date(pages: DataFrame, year: int) -> DataFrame:

@@ -58,5 +58,5 @@ def predict_upcoming(
     rows = prediction.prediction_rows(
         upcoming, lookup, stats, matches(spark, store), last, as_of_year=as_of_year)
     out = prediction.predict(rows, spark.read.parquet(f"{store}/scaler"), model.load(f"{store}/model"))
-    sinks.write_version(out, f"{store}/predictions", version)
+    sinks.write_version(out, f"{store}/predictions", version, ["complete_id"], [F.col("match_date"), F.col("probability_score_player_0")])
     return rejects

@@ -32,7 +32,7 @@ def read_lake(
     """
     first = "*" if year is None else f"{{{year},*={year}}}"
     pattern = "/".join([path.rstrip("/"), first] + ["*"] * (len(layout) - 1))
-    raw = spark.read.schema(schemas.text_schema(columns, index=True)).option("header", True).csv(f"{pattern}/*.csv")
+    raw = spark.read.schema(schemas.text_schema(columns, index=True)).option("header", True).option("escape", '"').csv(f"{pattern}/*.csv")
     file = F.col("_metadata.file_path")
     levels = [
         path_part(file, len(layout) - i).alias(f"_{name}") for i, name in enumerate(layout)
@@ -54,7 +54,7 @@ def read_table_csv(
     spark: SparkSession, path: str, columns: list[str], *, index: bool = False, complete_only: bool = False,
 ) -> DataFrame:
     """A consolidated CSV with its null markers resolved, optionally without incomplete rows."""
-    raw = spark.read.schema(schemas.text_schema(columns, index=index)).option("header", True).csv(path)
+    raw = spark.read.schema(schemas.text_schema(columns, index=index)).option("header", True).option("escape", '"').csv(path)
     out = raw.select(*[text.null_tokens(F.col(c)).alias(c) for c in columns])
     return out.dropna("any") if complete_only else out
 
@@ -71,8 +71,11 @@ def read_tournament_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType, *, per_line: bool = False) -> DataFrame:
-    """Landed feed documents, one per file or one per line. Only documents on lines can be split between tasks."""
-    return spark.read.schema(schema).json(path, multiLine=not per_line)
+    """Landed feed documents, one per file or one per line, with ``landed``: the directory of the file. A poll lands its
+    documents in one directory, named so that later polls sort behind earlier ones. Only documents on lines can be split
+    between tasks."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
+    return spark.read.schema(schema).json(path, multiLine=not per_line).select(*schema.fieldNames(), folder.alias("landed"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -44,8 +44,16 @@ def append_predictions(df: DataFrame, path: str) -> None:
     write_table(df, path, mode="append")
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Writes one batch of an upsert table. A repeated version replaces itself, so a retry leaves no duplicates."""
+def write_version(df: DataFrame, path: str, version: int, key: Sequence[str] = (), order: Sequence[Column] = ()) -> None:
+    """Writes one batch of an upsert table. A repeated version replaces itself, so a retry leaves no duplicates.
+
+    With a ``key`` the batch is reduced to the row of each key with the greatest ``order`` first. Without an order a key that
+    repeats inside the batch is refused: which row would win is not defined.
+    """
+    if key and order:
+        df = last_row(df, list(key), F.struct(*order), [c for c in df.columns if c not in key])
+    elif key and df.groupBy(*key).count().filter("count > 1").limit(1).count():
+        raise ValueError(f"keys {list(key)} repeat inside the batch and no order says which row is the last")
     (
         df.withColumn(VERSION, F.lit(version).cast("long")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(path)

@@ -399,11 +399,11 @@ def arr_3(spark, sf_dir):
         for side in ("winner", "looser")])
 
 
-@query("arr_4", """
+@query("arr_4_given", """
 SELECT page_id, array_to_string(regexp_extract_all(html, '<a href="([^"]*)"', 1), '|') AS links,
        array_to_string(regexp_extract_all(html, '<h1>([^<]*)</h1>', 1), '|') AS heads,
        array_to_string(regexp_extract_all(html, '<title>([^<]*)</title>', 1), '|') AS titles FROM pages""")
-def arr_4(spark, sf_dir):
+def arr_4_given(spark, sf_dir):
     """Three parallel lists of a page."""
     def every(pattern):
         return F.concat_ws("|", F.regexp_extract_all("html", F.lit(pattern), F.lit(1)))

@@ -180,21 +180,25 @@ def flt_12(spark, sf_dir):
 
 
 @query("src_8", a.with_sql(
-    """SELECT key, tournement, start, joueur0, joueur1, odds0 AS "oddJoueur0", odds1 AS "oddJoueur1" FROM (
-         SELECT *, row_number() OVER (PARTITION BY key ORDER BY "eventId" DESC) AS rn
-         FROM feed_offers JOIN feed_events USING ("eventId") WHERE odds0 IS NOT NULL) WHERE rn = 1""", *_FEED))
+    f"""SELECT key, tournement, start, joueur0, joueur1, odds0 AS "oddJoueur0", poll_odds AS "oddJoueur1" FROM (
+         SELECT *, row_number() OVER (PARTITION BY key ORDER BY poll DESC, "eventId" DESC) AS rn
+         FROM (SELECT *, 1 AS poll, 3.0 AS poll_odds FROM feed_offers
+               UNION ALL SELECT *, 2, odds1 FROM feed_offers WHERE "eventId" % 3 = 0)
+         JOIN feed_events USING ("eventId") WHERE odds0 IS NOT NULL) WHERE rn = 1""", *_FEED))
 def src_8(spark, sf_dir):
-    """Upcoming matches from landed feed files."""
-    docs = {
-        "groups": (group_documents, schemas.FEED_GROUPS), "events": (event_documents, schemas.FEED_EVENTS),
-        "offers": (offer_documents, schemas.FEED_OFFERS),
-    }
-    read = []
-    for name, (make, schema) in docs.items():
+    """Upcoming matches from landed feed files: every event in the first poll, a third of them again, with other odds, in the second."""
+    def landed(name, *polls):
         path = scratch_path(spark, f"feed-{name}")
-        make(spark, sf_dir).write.text(path)
-        read.append(lake.read_feed(spark, path, schema, per_line=True))
-    return feed.flatten_feed(*read)[0]
+        for number, documents in enumerate(polls, 1):
+            documents.write.text(f"{path}/poll-{number:04d}")
+        schema = {"groups": schemas.FEED_GROUPS, "events": schemas.FEED_EVENTS, "offers": schemas.FEED_OFFERS}[name]
+        return lake.read_feed(spark, f"{path}/*", schema, per_line=True)
+
+    offers = offer_documents(spark, sf_dir)
+    first = offers.select(F.replace("json", F.lit('"5/4"'), F.lit('"2/1"')).alias("json"))
+    third = offers.filter(F.get_json_object("json", "$.events[0].id").cast("long") % 3 == 0)
+    return feed.flatten_feed(
+        landed("groups", group_documents(spark, sf_dir)), landed("events", event_documents(spark, sf_dir)), landed("offers", first, third))[0]
 
 
 _PROPS_SQL = """
@@ -258,29 +262,29 @@ def src_9(spark, sf_dir):
     return lake.read_pages(spark, f"{sf_dir}/pages.parquet").select("url", F.length("html").alias("size"))
 
 
-@query("htm_1", "WITH " + _LINKS_SQL + " SELECT 'https://example.test' || link AS url, label FROM links")
-def htm_1(spark, sf_dir):
+@query("htm_1_given", "WITH " + _LINKS_SQL + " SELECT 'https://example.test' || link AS url, label FROM links")
+def htm_1_given(spark, sf_dir):
     """Absolute links of an index page with their texts."""
     return _links(spark, sf_dir).select(
         F.concat(F.lit("https://example.test"), text.strip_cell(F.col("link"))).alias("url"), "label")
 
 
-@query("htm_2", """
+@query("htm_2_given", """
 SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
        regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS heading,
        CAST(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS INTEGER) AS links FROM pages""")
-def htm_2(spark, sf_dir):
+def htm_2_given(spark, sf_dir):
     """Header fields and the number of links of a page."""
     page = html.extract(_pages(spark, sf_dir), {**HEAD_PAGE, "link": LINK_PAGE["link"]})
     return page.select(
         "page_id", *[F.coalesce(c, F.lit("")).alias(c) for c in HEAD_PAGE], F.size("link").alias("links"))
 
 
-@query("htm_3", "WITH " + _LINKS_SQL + """
+@query("htm_3_given", "WITH " + _LINKS_SQL + """
 SELECT page_id, CAST(count(*) FILTER (WHERE link = first_link) AS DOUBLE) / count(*) AS share FROM (
   SELECT *, first(link) OVER (PARTITION BY page_id ORDER BY position) AS first_link FROM links)
 GROUP BY page_id, first_link""")
-def htm_3(spark, sf_dir):
+def htm_3_given(spark, sf_dir):
     """Share of a page's links that repeat the first one: a breakdown table counted in the list."""
     page = html.extract(_pages(spark, sf_dir), LINK_PAGE)
     links = F.col("link")
@@ -289,18 +293,18 @@ def htm_3(spark, sf_dir):
     return page.select("page_id", share.alias("share")).filter("share IS NOT NULL")
 
 
-@query("htm_4", "WITH " + _LINKS_SQL + " SELECT page_id, position, link, label FROM links WHERE position < 4")
-def htm_4(spark, sf_dir):
+@query("htm_4_given", "WITH " + _LINKS_SQL + " SELECT page_id, position, link, label FROM links WHERE position < 4")
+def htm_4_given(spark, sf_dir):
     """Rows of parallel lists down to a rank."""
     return _links(spark, sf_dir).filter("position < 4").select("page_id", "position", "link", "label")
 
 
-@query("htm_5", """
+@query("htm_5_given", """
 SELECT page_id, nullif(regexp_extract(row, '>([^<]*)</a>', 1), '') AS cell,
        nullif(regexp_extract(row, 'href="([^"]*)"', 1), '') AS link
 FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '<ul>(.*?)</ul>', 1), '<li>(.*?)</li>', 1)[2] AS row
       FROM pages) WHERE row IS NOT NULL""")
-def htm_5(spark, sf_dir):
+def htm_5_given(spark, sf_dir):
     """A cell found by list and row number."""
     lists = F.regexp_extract("html", "<ul>(.*?)</ul>", 1)
     row = F.get(F.regexp_extract_all(lists, F.lit("<li>(.*?)</li>"), F.lit(1)), F.lit(1))
@@ -340,10 +344,10 @@ def win_8(spark, sf_dir):
         "page_id", "position", arrays.round_of(rounds, F.col("position")).alias("phase"))
 
 
-@query("join_12", "WITH " + _LINKS_SQL + """
+@query("join_12_given", "WITH " + _LINKS_SQL + """
 SELECT l.page_id, l.link, regexp_extract(p.html, '<title>([^<]*)</title>', 1) AS title,
        regexp_extract(p.html, '<html lang="([^"]*)"', 1) AS lang FROM links l JOIN pages p ON p.url = l.url""")
-def join_12(spark, sf_dir):
+def join_12_given(spark, sf_dir):
     """Header fields of a page on the rows extracted from it."""
     parents = html.extract(_pages(spark, sf_dir), HEAD_PAGE)
     children = _links(spark, sf_dir).select("page_id", "url", "link")

@@ -365,9 +365,9 @@ def lim_1(spark, sf_dir):
     return rows_per_key_at_most(rows, ["player"], [F.col("seq")], 3).select("player", "match_id", "rank")
 
 
-@query("lim_2", a.with_sql(
+@query("lim_2_given", a.with_sql(
     "SELECT player, seq, ranking FROM stats WHERE ranking <= 100", a.SQL_STATS))
-def lim_2(spark, sf_dir):
+def lim_2_given(spark, sf_dir):
     """Statistics of players ranked in the top hundred."""
     return a.stats(spark, sf_dir).filter("ranking <= 100").select("player", "seq", "ranking")
 

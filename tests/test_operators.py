@@ -1,12 +1,13 @@
 """Operators on hand-made rows, against plain computations."""
 
 import datetime
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from courtside.operators import dataset, decide, enrich, form, fuzzy, h2h, orient, skew
+from courtside.operators import dataset, decide, enrich, form, fuzzy, h2h, model, orient, skew
 from courtside.session import scratch_path
 from courtside.sources import sinks
 from test_functions import ratio
@@ -157,11 +158,55 @@ def test_running_totals_of_hot_keys(spark, tie):
 def test_hot_keys_are_cut_in_ordered_pieces(spark, tie):
     df, _ = player_history(spark)
     df = df.withColumn("named", F.concat(F.lit("match-"), F.lpad(F.col("num").cast("string"), 5, "0")))
-    cold, hot = skew.split_hot(df, ["player"], "start_date", tie, hot_rows=100)
-    assert cold.filter("player = 'hot'").count() == 0 and hot.filter("player <> 'hot'").count() == 0
-    assert hot.groupBy("_piece_day", "_piece_slice").count().count() > 24  # more than two per day
-    in_row_order = [(r._piece_day, r._piece_slice) for r in hot.orderBy("start_date", tie).collect()]
-    assert in_row_order == sorted(in_row_order)
+    cold, hot = skew.split_hot(df, ["player"], "start_date", tie, hot_rows=20)
+    counts = {r.player: r["count"] for r in df.groupBy("player").count().collect()}
+    assert {r.player for r in hot.select("player").distinct().collect()} == {p for p, n in counts.items() if n > 20}
+    assert cold.count() + hot.count() == df.count()
+    in_row_order = [(r._piece_run, r._piece_cut) for r in hot.filter("player = 'hot'").orderBy("start_date", tie).collect()]
+    assert in_row_order == sorted(in_row_order) and len(set(in_row_order)) > 5
+
+
+def history(spark, days, per_day, ident):
+    rows = [(None if k % 2 else "p", DAY + datetime.timedelta(days=d), ident(d * per_day + k)) for d in range(days) for k in range(per_day)]
+    return spark.createDataFrame(rows, "player string, start_date date, id string")
+
+
+@pytest.mark.parametrize("days, per_day, ident", [
+    (3000, 2, lambda k: hashlib.sha256(str(k).encode()).hexdigest()),  # a long history
+    (1, 6000, lambda k: f"same-prefix-for-all-{k}"),  # one huge day, crowded ids
+    (3, 2000, lambda k: "x" * 40 + chr(0x4E00 + k // 200) * (k % 200 + 1)),  # ids that differ late
+])
+def test_pieces_follow_counts(spark, days, per_day, ident):
+    df = history(spark, days, per_day, ident)
+    target = 200
+    cold, hot = skew.split_hot(df, ["player"], "start_date", "id", hot_rows=target)
+    assert cold.count() == 0
+    sizes = [r["count"] for r in hot.groupBy("player", "_piece_run", "_piece_cut").count().collect()]
+    assert sum(sizes) == df.count() and max(sizes) <= 2 * target and len(sizes) <= 2 * df.count() / target + 2
+
+
+def test_null_keys_are_cut_and_keep_their_rows(spark):
+    df = history(spark, 40, 10, lambda k: f"{k:06d}").withColumn("n", F.col("id").cast("long"))
+    plain, cut = (skew.previous_rows(df, ["player"], "start_date", "id", ["n"], 3, hot_rows=h) for h in (None, 20))
+    assert rows(plain.select("n", "previous"), "n") == rows(cut.select("n", "previous"), "n")
+    totals = {"before": F.lit(1).cast("long")}
+    plain, cut = (skew.running_totals(df, ["player"], "start_date", "id", totals, hot_rows=h) for h in (None, 20))
+    assert rows(plain.select("n", "before"), "n") == rows(cut.select("n", "before"), "n")
+
+
+def test_matches_without_a_surface_stay(spark):
+    df = spark.createDataFrame([("a", "b", None, 0, "m1"), ("a", "b", "hard", 0, "m2")], "player0 string, player1 string, surface string, label int, match_id string")
+    df = df.withColumn("start_date", F.lit("2020-01-01").cast("date"))
+    for compat in (True, False):
+        assert h2h.surface_h2h(df, compat=compat).count() == 2
+
+
+def test_rows_with_missing_inputs_are_scored_null(spark):
+    data = [(k, float(k % 7), float(k % 3), k % 2, "train") for k in range(60)] + [(99, None, 1.0, 0, "train"), (98, float("nan"), 1.0, 0, "train")]
+    df = spark.createDataFrame(data, "id int, x double, y double, label int, part string")
+    scored = {r.id: r for r in model.score(model.train(df, ["x", "y"], maxIter=5), df).collect()}
+    assert len(scored) == 62 and scored[99].prediction is None and scored[98].prediction is None
+    assert scored[99].x is None and scored[5].x == 5.0 and all(0 <= scored[k].prediction <= 1 for k in range(60))
 
 
 def expected_prefix(data, year, player, k=3):

@@ -19,20 +19,22 @@ def pages(spark, *items):
 
 
 def test_index_page(spark):
-    cell = ('<td class="title"><div class="tourney-details"><a href="/t/{0}">x</a></div></td>'
-            '<td><div class="item-details"> {1} <span class="item-value"> {2} </span></div></td>')
-    page = pages(spark, ("i", "<table>" + cell.format("one", "Outdoor", "Clay") + cell.format("two", "Indoor", "Hard")))
+    row = ('<tr><td class="title"><a href="/title/{0}">t</a></td><td><div class="tourney-details">no link</div></td>'
+           '<td><div class="tourney-details"><a href="/t/{0}">x</a></div></td><td>$100</td>'
+           '<td><div><div> {1} <span class="item-value"> {2} </span></div></div></td></tr>')
+    page = pages(spark, ("i", '<table class="results-archive-table mega-table">' + row.format("one", "Outdoor", "Clay")
+                         + row.format("two", "Indoor", "Hard") + "</table>"))
     got = [tuple(r) for r in html.index_rows(page, HOST).orderBy("url").collect()]
     assert got == [(f"{HOST}/t/one", "Outdoor Clay"), (f"{HOST}/t/two", "Indoor Hard")]
 
 
 def tournament_html(rounds, n):
-    heads = "".join(f'<table class="day-table"><thead><tr><th colspan="9">{r}</th></tr></thead></table>' for r in rounds)
+    heads = "".join(f'<thead><tr><th colspan="9">{r}</th></tr></thead>' for r in rounds)
     links = "".join(f'<td class="day-table-button"><a href="/en/players/h2h/{i}">H2H</a></td>' for i in range(n))
     return (
         '<td class="tourney-badge-wrapper"><img src="/img/categorystamps_500.png"></td>'
         '<table><tr class="tourney-result with-icons"><td></td><td><a href="/en/tournaments/spring-open/1/overview">x</a>'
-        '</td></tr></table><span class="tourney-dates"> 2020.01.06 - 2020.01.12 <br></span>' + heads + links
+        '</td></tr></table><span class="tourney-dates"> 2020.01.06 - 2020.01.12 <br></span><table class="day-table">' + heads + "</table>" + links
         + '<td class="day-table-button"><a href="/en/scores/1">score</a></td>')
 
 
@@ -47,13 +49,13 @@ def test_tournament_page(spark):
 def test_versus_page(spark):
     def player(side, name):
         return (f'<div class="player-{side}-name"><a href="/en/players/{name}/x1/overview">n</a></div>'
-                f'<div class="player-{side}-wins"><div><div>W</div><div> {60 if side == "left" else 40}% </div></div></div>')
+                f'<div class="player-{side}-wins" data-x="1"><div class="a"><div id="l">W</div><div> {60 if side == "left" else 40}% </div></div></div>')
 
     def meeting(surface, name):
-        return (f'<tr><td class="year">1</td><td class="surface"><span> {surface} </span></td>'
-                f'<td class="winner"><a href="/en/players/{name}/x1">n</a></td></tr>')
+        return (f'<tr><td>1</td><td>e</td><td><span> {surface} </span></td><td>F</td>'
+                f'<td><a href="/en/players/{name}/x1">n</a></td></tr>')
 
-    body = (player("left", "bob") + player("right", "al") + "<table>" + meeting("Outdoor Clay", "bob")
+    body = (player("left", "bob") + player("right", "al") + '<table class="modal-event-breakdown-table">' + meeting("Outdoor Clay", "bob")
             + meeting("Outdoor Clay", "al") + meeting("Outdoor Clay", "bob") + meeting("Indoor Hard", "al") + "</table>")
     links = spark.createDataFrame([("v", "open", "d", None, "Finals", "Outdoor Clay")],
                                   "link string, name string, date string, typeTournament string, phase string, surfaceInout string")
@@ -70,10 +72,10 @@ def test_ranking_page(spark):
                 f'</td><td class="points-cell"><a href="#">1,{rank}00</a></td><td class="tourn-cell"><a href="#">20</a></td>'
                 f'<td class="pts-cell"> 10 </td><td class="next-cell"> 0 </td></tr>')
 
-    page = pages(spark, ("r", "<table>" + line(1, "bob") + line(300, "al") + line(301, "cy") + "</table>"))
-    rows = html.ranking_rows(page, HOST).orderBy("ranking").collect()
-    assert [r.url for r in rows] == [f"{HOST}/en/players/bob/x/player-stats", f"{HOST}/en/players/al/x/player-stats"]
-    assert tuple(rows[0])[1:] == ("1", "1,100", "20", "10", "0")
+    page = pages(spark, ("r", "<table>" + line(1, "bob") + line("2T", "di") + line("2T", "ed") + line("-", "fy") + line(300, "al") + line(301, "cy") + "</table>"))
+    rows = {r.url.split("/")[5]: r for r in html.ranking_rows(page, HOST).collect()}
+    assert rows.keys() == {"bob", "di", "ed", "fy", "al"} and rows["bob"].url == f"{HOST}/en/players/bob/x/player-stats"
+    assert tuple(rows["bob"])[1:] == ("1", "1,100", "20", "10", "0")
     dates = pages(spark, ("d", "<ul><li> 2019.12.30 </li><li>2020.01.06</li><li>2020.01.13</li></ul>"))
     assert html.ranking_date(dates, 2020).first()[0] == datetime.date(2020, 1, 6)
 
@@ -98,8 +100,8 @@ def test_player_page(spark):
 
 
 def test_odds_page(spark):
-    body = ('<span><span>date</span><span> Open </span></span><table><tr><td><a href="#">Al - Bo</a></td>'
-            '<td><b>1.5</b></td><td><b> 2.5 </b></td></tr></table>')
+    body = ('<b>0</b><table><tr><td><b>9</b></td></tr></table><div id="main"><article><div><span><span>date</span><span> Open </span></span></div>'
+            '<div><table><tr><td><a href="#">Al - Bo</a></td><td><b>1.5</b></td><td><b> 2.5 </b></td></tr></table></div></article></div>')
     row = html.odds_rows(pages(spark, ("o", body))).first()
     assert (row.tournement, row.odds, row.player) == (["Open"], ["1.5", "2.5"], ["Al - Bo"])
 
