@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,6 +289,22 @@ def test_resolve_names_is_exact(spark, block_rows):
         assert got[query] == (vocab[best] if scores[best] > 0 else "", scores[best]), query
 
 
+def test_many_open_and_long_names(spark):
+    """A thousand names that are like no other against twenty thousand, and names of any length."""
+    rnd = random.Random(2)
+    name = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    vocab = [name(rnd.randint(8, 24)) for _ in range(20_000)] + ["z" * 5000 + "q", "z" * 300]
+    asked = [name(rnd.randint(8, 24)) for _ in range(998)] + ["z" * 4990, "zz" * 160]
+    started = time.perf_counter()
+    got = {r.query: (r.name, r.score) for r in fuzzy.resolve_names(
+        spark.createDataFrame([(q,) for q in asked], "query string"), spark.createDataFrame([(n,) for n in vocab], "name string")).collect()}
+    assert time.perf_counter() - started < 60
+    assert len(got) == len(set(asked)) and got["z" * 4990][0] == "z" * 5000 + "q" and got["zz" * 160] == ("z" * 300, 97)
+    for q in asked[:3]:
+        best = max(ratio(q, n) for n in vocab[:20_000])
+        assert got[q] == (min(n for n in vocab[:20_000] if ratio(q, n) == best), best)
+
+
 def test_resolve_names_without_vocabulary(spark):
     q = spark.createDataFrame([("a",)], "query string")
     assert fuzzy.resolve_names(q, q.filter("false").withColumnRenamed("query", "name")).count() == 0
