@@ -99,16 +99,17 @@ def piv_2(spark, sf_dir):
               CASE WHEN surface = 'Clay' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "Clay",
               CASE WHEN surface = 'Grass' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "Grass",
               CASE WHEN surface IN ('Carpet', 'Clay', 'Grass') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS "Hard",
-              CASE WHEN plays0 = 'Left-Handed' THEN 1.0::DOUBLE WHEN plays0 IS NOT NULL THEN 0.0::DOUBLE END
-                AS "Left-Handed",
-              CASE WHEN plays0 = 'Left-Handed' THEN 0.0::DOUBLE WHEN plays0 IS NOT NULL THEN 1.0::DOUBLE END
-                AS "Right-Handed" FROM attached""", *attached_sql("plays")))
+              """ + ", ".join(
+        f"""CASE WHEN plays{k} = 'Left-Handed' THEN {yes} WHEN plays{k} IS NOT NULL THEN {no} END AS "{hand}{suffix}\""""
+        for k, suffix in ((0, ""), (1, ".1"))
+        for hand, yes, no in (("Left-Handed", "1.0::DOUBLE", "0.0::DOUBLE"), ("Right-Handed", "0.0::DOUBLE", "1.0::DOUBLE"))) + " FROM attached",
+    *attached_sql("plays")))
 def piv_3(spark, sf_dir):
     """Flags with an else branch, as for a single upcoming match."""
     m = a.attached(spark, sf_dir, ["plays"])
     return m.select(
         "match_id", *rates.in_out_flags(F.col("inOut")), *rates.surface_flags(F.col("surface")),
-        *rates.hand_flags(F.col("plays0")))
+        *rates.hand_flags(F.col("plays0")), *rates.hand_flags(F.col("plays1"), ".1"))
 
 
 @query("prj_7", a.with_sql("SELECT match_id, 0.0::DOUBLE AS label FROM matches", *M))

@@ -512,11 +512,14 @@ def snk_4(spark, sf_dir):
     return spark.read.parquet(path).select("player", F.col("year").cast("int").alias("year"), "surface", "aces")
 
 
+_SCALED = [*schemas.COUNT_COLUMNS, *schemas.PERCENT_COLUMNS, *schemas.THOUSANDS_COLUMNS, "height", "ranking", "tournCell", "nextBest"]
+
+
 @query("snk_5", a.with_sql(
-    "SELECT CAST(min(aces) AS DOUBLE) AS min_aces, CAST(max(aces) AS DOUBLE) AS max_aces FROM stats", a.SQL_STATS))
+    "SELECT " + ", ".join(f'CAST({f}("{c}") AS DOUBLE) AS "{f}_{c}"' for c in _SCALED for f in ("min", "max")) + " FROM stats", a.SQL_STATS))
 def snk_5(spark, sf_dir):
-    """Scaler bounds, written and read back."""
-    return _round_trip(spark, fit_minmax(a.stats(spark, sf_dir), ["aces"]), "scaler")
+    """Scaler bounds of every numeric statistic, written and read back."""
+    return _round_trip(spark, fit_minmax(a.stats(spark, sf_dir), _SCALED), "scaler")
 
 
 def _prediction_rows(spark, sf_dir):

@@ -28,14 +28,15 @@ def join_1(spark, sf_dir):
 
 
 @query("flt_1", a.with_sql(
-    """SELECT m.match_id, s.seq FROM matches m JOIN stats s
-       ON s.player = m.player0 AND s.year = m.year AND s.surface = m.stats_surface""", a.SQL_MATCHES, a.SQL_STATS))
+    " UNION ALL ".join(f"""SELECT m.match_id, {k} AS slot, s.seq FROM matches m JOIN stats s
+       ON s.player = m.player{k} AND s.year = m.year AND s.surface = m.stats_surface""" for k in (0, 1)), a.SQL_MATCHES, a.SQL_STATS))
 def flt_1(spark, sf_dir):
-    """Every statistics row that a match selects by player, year and surface."""
+    """Every statistics row that a side of a match selects by player, year and surface."""
     m = a.matches(spark, sf_dir).select(
-        "match_id", F.col("player0").alias("player"), "year", stats_surface(F.col("surface")).alias("surface"))
+        "match_id", F.posexplode(F.array("player0", "player1")).alias("slot", "player"), "year",
+        stats_surface(F.col("surface")).alias("surface"))
     s = a.stats(spark, sf_dir).select("player", "year", "surface", "seq")
-    return m.join(s, ["player", "year", "surface"]).select("match_id", "seq")
+    return m.join(s, ["player", "year", "surface"]).select("match_id", "slot", "seq")
 
 
 @query("win_4", a.with_sql(
@@ -46,7 +47,8 @@ def win_4(spark, sf_dir):
     return enrich.latest_stats(s, ["seq", "ranking", "points", "plays"], "order")
 
 
-_UPCOMING_SQL = "upcoming AS (SELECT match_id, player0 AS player, stats_surface AS surface FROM matches)"
+_UPCOMING_SQL = "upcoming AS (" + " UNION ALL ".join(
+    f"SELECT match_id, {k} AS slot, player{k} AS player, stats_surface AS surface FROM matches" for k in (0, 1)) + ")"
 _SECOND_SQL = """
 ranked AS (SELECT *, row_number() OVER (PARTITION BY player, surface ORDER BY seq DESC) AS rn,
                   row_number() OVER (PARTITION BY player, surface ORDER BY seq) AS rn_first,
@@ -58,7 +60,7 @@ second AS (SELECT * FROM ranked WHERE rn = 2)"""
 
 
 @query("join_4", a.with_sql(
-    """SELECT u.match_id, u.player, u.surface,
+    """SELECT u.match_id, u.slot, u.player, u.surface,
               CASE WHEN t.first_gap THEN h.seq ELSE o.seq END AS stats_seq,
               CASE WHEN t.first_gap THEN h.ranking ELSE o.ranking END AS ranking
        FROM upcoming u JOIN state t ON t.player = u.player AND t.surface = u.surface AND t.any_complete
@@ -67,12 +69,12 @@ second AS (SELECT * FROM ranked WHERE rn = 2)"""
        WHERE CASE WHEN t.first_gap THEN h.seq ELSE o.seq END IS NOT NULL""",
     a.SQL_MATCHES, a.SQL_STATS, _UPCOMING_SQL, _SECOND_SQL))
 def join_4(spark, sf_dir):
-    """Last but one statistics row of player 0, with the hard court fallback."""
+    """Last but one statistics row of both players, with the hard court fallback."""
     up = a.matches(spark, sf_dir).select(
-        "match_id", F.col("player0").alias("player"), stats_surface(F.col("surface")).alias("surface"))
+        "match_id", F.posexplode(F.array("player0", "player1")).alias("slot", "player"), stats_surface(F.col("surface")).alias("surface"))
     s = a.stats(spark, sf_dir).withColumn("stats_seq", F.col("seq"))
     cols = ["stats_seq", "ranking", "doubleFautes", "breakPointsSaved", "breakPointsOpportunities"]
-    return enrich.previous_stats(up, s, cols).select("match_id", "player", "surface", "stats_seq", "ranking")
+    return enrich.previous_stats(up, s, cols).select("match_id", "slot", "player", "surface", "stats_seq", "ranking")
 
 
 @query("win_5", a.with_sql(
