@@ -6,8 +6,9 @@ weight ``w`` is quantised to ``t = floor(ln w / r + b)`` and competes with ``ln
 wins, and the sample is the pair (term, t). Two texts agree in a sample with the probability of their generalised Jaccard
 similarity, the sum of the smaller weights over the sum of the larger ones.
 
-Gamma numbers are read off a table of quantiles, computed once from the distribution. A term's candidate is packed into one
-long, the value in front, so a sample is a plain minimum of longs.
+Gamma numbers are read off a table of quantiles, computed once from the distribution and fine at its lower end, where the
+least values come from. A term's candidate is packed into one long, the value in front, so a sample is a plain minimum of
+longs.
 
 Texts without words (NULL, empty) have an empty fingerprint, alike only to another empty one. DataFrame functions only. Terms
 are counted and sampled where their document lies: one exchange of texts, none of terms.
@@ -26,18 +27,20 @@ from courtside.llm.texts import quoted
 from courtside.session import materialize
 
 SAMPLES = 64
-#: steps of the table of gamma quantiles
-STEPS = 2048
+#: entries of the table of gamma quantiles; entry k stands for probabilities around (k / STEPS) squared
+STEP_BITS = 11
+STEPS = 1 << STEP_BITS
 #: blocks of documents per shuffle partition; a block is a range of ids, the partitions a hash of blocks
 BLOCKS_PER_PARTITION = 4
 
 
 @cache
 def gamma_quantiles(steps: int = STEPS) -> list[float]:
-    """Quantiles of gamma(2, 1) in the middle of equal steps of probability, by bisection of its distribution function."""
+    """Quantiles of gamma(2, 1) in the middle of equal steps of the root of the probability, by bisection of its distribution
+    function. Near zero the quantile is in proportion to that root, so small values keep their relative precision."""
     out = []
     for k in range(steps):
-        wanted, lo, hi = (k + 0.5) / steps, 0.0, 50.0
+        wanted, lo, hi = ((k + 0.5) / steps) ** 2, 0.0, 50.0
         for _ in range(60):
             mid = (lo + hi) / 2
             lo, hi = (mid, hi) if 1 - math.exp(-mid) * (1 + mid) < wanted else (lo, mid)
@@ -45,23 +48,31 @@ def gamma_quantiles(steps: int = STEPS) -> list[float]:
     return out
 
 
+def _entry(h: Column, at: int) -> Column:
+    """The table's entry: the larger of two uniform numbers is distributed as the root of a probability."""
+    low = lambda k: F.shiftright(h, k).bitwiseAND(F.lit(STEPS - 1))
+    return F.greatest(low(at), low(at + STEP_BITS)).cast("int")
+
+
 def _packed(term: Column, log_weight: Column, k: int, gammas: Column, logs: Column) -> Column:
     """The candidate of a term for sample ``k``: 38 bits of ln a, 24 bits that tell equal values apart."""
     h = F.xxhash64(term, F.lit(k))
-    r = F.get(gammas, h.bitwiseAND(F.lit(STEPS - 1)).cast("int"))
-    log_c = F.get(logs, F.shiftright(h, 11).bitwiseAND(F.lit(STEPS - 1)).cast("int"))
-    b = F.shiftright(h, 22).bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") / F.lit(4294967296.0)
+    r, log_c = F.get(gammas, _entry(h, 0)), F.get(logs, _entry(h, 2 * STEP_BITS))
+    b = F.shiftright(h, 4 * STEP_BITS).bitwiseAND(F.lit(0xFFFFF)).cast("double") * F.lit(1 / 1048576)
     t = F.floor(log_weight / r + b)
     log_a = log_c - r * (t - b) - r
     # no term outweighs e**200, so the value stays inside its bits
     value = F.floor((log_a + F.lit(512.0)) * F.lit(268435456.0))
-    return F.shiftleft(value, 24).bitwiseOR(F.xxhash64(h, t).bitwiseAND(F.lit(0xFFFFFF)))
+    return F.shiftleft(value, 24).bitwiseOR(h.bitwiseAND(F.lit(0xFFFFFF)))
 
 
 def sampled(df: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
     """Per ``keys``, which must tell the rows of ``df`` apart, the samples of the text: an array of integers, empty without
     words. If ``df`` is dealt by some of the keys, nothing is shuffled."""
-    gammas, logs = (F.array(*[F.lit(x) for x in values]) for values in (gamma_quantiles(), [math.log(x) for x in gamma_quantiles()]))
+    # the tables enter as results of a subquery: one value each, not an expression per entry and use
+    gammas, logs = (
+        df.sparkSession.range(1).select(F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")).scalar()
+        for values in (gamma_quantiles(), [math.log(x) for x in gamma_quantiles()]))
     words = df.select(*keys, F.explode_outer(words_of(F.lower(quoted(text)))).alias("word"))
     # the word "" does not occur, so NULL is the only term of a text without words
     terms = (words.select(*keys, F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"))
