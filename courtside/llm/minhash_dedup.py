@@ -10,9 +10,9 @@ shingle, a text without words (or NULL) has an empty set and is linked with noth
 2. Nodes that share a band key are candidates. The number of bands makes the chance to miss a pair at the threshold less
    than ``miss``. Sketches that differ in more bits than a linked pair can show (``miss`` again) end a candidate.
 3. In each bucket every node is confirmed against one leader, on the full sets: linear in the bucket. Buckets whose nodes are
-   then in one component are done. In the others, further leaders are tried as long as that is linear work; then every node
-   outside the bucket's main component meets all nodes of other components, inside the join, and only those whose sketches
-   agree come out of it. No pair of a bucket is skipped unless its two sides are already in one component.
+   then in one component are done. In the others every node outside the bucket's main component meets all nodes of other
+   components, inside the join, and only those whose sketches of the full sets agree come out of it, to be confirmed on their full sets.
+   No pair of a bucket is skipped unless its two sides are already in one component.
 
 NULL ids and repeated rows keep a row each: rows are told apart by id and text, components by their node. ``component_id`` is
 the smallest id of the component, NULL if it has none. Full sets are only made for nodes that share a bucket.
@@ -34,8 +34,10 @@ from courtside.session import materialize, ship_package
 REMEMBERED_WORDS = 300_000
 #: shingles whose samples are made at a time; memory, not meaning
 BLOCK = 4096
-#: leaders tried per bucket before the rest of a bucket is compared as a whole
-LEADER_ROUNDS = 3
+#: nodes of a bucket that has a leader of its own
+LARGE = 256
+#: bits of the sketches of full sets that compare the rest of a bucket
+FINE_BITS = 4096
 
 
 @dataclass(frozen=True)
@@ -169,10 +171,10 @@ def signatures(df: DataFrame, text: str, s: Settings, into: str, keep: list[str]
     return add_from_text(df, text, make, into, SIGNATURE, keep)
 
 
-def differing_bits(a: Column, b: Column, s: Settings) -> Column:
+def differing_bits(a: Column, b: Column, bits: int) -> Column:
     """Population count of the XOR of two sketches."""
     out = F.lit(0)
-    for k in range(s.bits // 64):
+    for k in range(bits // 64):
         out = out + F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k))))
     return out
 
@@ -181,7 +183,7 @@ def _close(a: str, b: str, s: Settings) -> Column:
     """What a linked pair always shows: sizes that allow the similarity, and sketches that agree (but for ``miss``)."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     return (100 * F.least(na, nb) >= s.percent * F.greatest(na, nb)) & (
-        differing_bits(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), s) <= s.most_differing_bits)
+        differing_bits(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), s.bits) <= s.most_differing_bits)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
@@ -197,7 +199,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             keep = []
             for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (2, 3))
+                x, y = (_as_sets(batch.column(k).slice(i, 1))[0] for k in (2, 3))
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -212,24 +214,26 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """Nodes of ``edges`` (a, b) with the smallest node of their component: node, label.
+    """Nodes of ``edges`` (a, b) with the root of their component: node, label.
 
-    Labels go to neighbours and then jump to the label's own label, so chains shorten by half and stars end at once. Every
-    round is written, and counts of changed labels are all that reaches the driver.
+    Every node takes the smallest of itself and its neighbours, and edges between nodes that took different ones are the graph
+    of the next round, which only has nodes that were taken. Nodes are digests, in random order, so a round leaves a share of
+    them; a star is done in one. Every round is written; the driver only learns whether edges are left.
     """
-    both = materialize(edges.union(edges.select("b", "a")).toDF("node", "other").distinct(), "edges")
-    labels = materialize(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+    rounds = []
     while True:
-        near = (both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("m")), "other")
-                .groupBy("node").agg(F.min("m").alias("m")))
-        spread = materialize(labels.join(near, "node").select("node", F.least("label", "m").alias("label"), F.col("label").alias("old")), "labels")
-        jumped = materialize(
-            spread.join(spread.select(F.col("node").alias("label"), F.col("label").alias("far")), "label")
-            .select("node", F.least("label", "far").alias("label"), "old"), "labels")
-        changed = jumped.filter(F.col("label") != F.col("old")).count()
-        labels = jumped.select("node", "label")
-        if not changed:
-            return labels
+        both = materialize(edges.union(edges.select("b", "a")).toDF("node", "other").distinct(), "edges")
+        labels = materialize(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+        rounds.append(labels)
+        left, right = labels.toDF("node", "a"), labels.toDF("other", "b")
+        edges = materialize(both.join(left, "node").join(right, "other").filter("a < b").select("a", "b").distinct(), "contracted")
+        if not edges.limit(1).count():
+            break
+    found = rounds.pop()
+    while rounds:
+        later = found.toDF("label", "root")
+        found = materialize(rounds.pop().join(later, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels")
+    return found
 
 
 def components(df: DataFrame, row_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -247,12 +251,16 @@ def components(df: DataFrame, row_id: str = "doc_id", text: str = "text", settin
         .select("node", "min_id", "first.*"), "nodes")
 
     places = nodes.select("node", F.explode("bands").alias("band"))
+    # one leader per bucket: the smallest node, so a group has the same one in most of its buckets; a large bucket has one of its
+    # own, by a hash of node and band, so the nodes of a large group are confirmed against as many leaders as they have bands
+    own = F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node"))
     shared = materialize(
-        places.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-        .select("band", "leader"), "buckets")
+        places.groupBy("band").agg(F.min("node").alias("first"), own.alias("own"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+        .select("band", F.when(F.col("size") > LARGE, F.col("own.node")).otherwise(F.col("first")).alias("leader")), "buckets")
     members = materialize(places.join(shared, "band"), "members")
     sketches = nodes.select("node", "n", "sketch")
-    sets = materialize(_sets(source, nodes, members, s), "sets")
+    repeated = filled.groupBy("id", "text_key").count().filter("count > 1").limit(1).count() > 0
+    sets = materialize(_sets(source, nodes, members, repeated, s), "sets")
 
     def sided(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that may be linked."""
@@ -262,37 +270,14 @@ def components(df: DataFrame, row_id: str = "doc_id", text: str = "text", settin
 
     stars = members.filter("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     edges = materialize(_confirmed(sided(stars), sets, s), "links")
-    tried = members.select("band", F.col("leader").alias("node")).distinct()
     labels = connected(edges)
-    for _ in range(LEADER_ROUNDS):
-        state = materialize(_open_buckets(members, labels), "open")
-        work = state.agg(F.sum(F.when(F.col("label") != F.col("main"), F.col("size"))).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
-        if not work["rows"]:
-            break
-        if work["pairs"] <= 4 * work["rows"]:
-            break
-        # the next leader of an open bucket is the first node outside its main component that has not led it yet
-        leaders = materialize(
-            state.filter("label != main").join(tried, ["band", "node"], "left_anti")
-            .groupBy("band").agg(F.min(F.struct("node", "label")).alias("l")).select("band", F.col("l.node").alias("b"), F.col("l.label").alias("lb")), "leaders")
-        stars = state.join(leaders, "band").filter(F.col("label") != F.col("lb")).select(F.col("node").alias("a"), "b").distinct()
-        edges = materialize(edges.union(_confirmed(sided(stars), sets, s)), "links")
-        tried = materialize(tried.union(leaders.select("band", F.col("b").alias("node"))), "tried")
-        labels = connected(edges)
-    state = materialize(_open_buckets(members, labels), "open")
-    if state.limit(1).count():
-        rest = state.join(sketches, "node")
-        rest = materialize(rest.select("band", "label", "main", F.struct("node", "n", "sketch").alias("x")), "rest")
-        minor, other = rest.filter("label != main").alias("p"), rest.alias("q")
-        pairs = minor.join(
-            other, (F.col("p.band") == F.col("q.band")) & (F.col("p.label") != F.col("q.label"))
-            & ((F.col("q.label") == F.col("q.main")) | (F.col("p.x.node") < F.col("q.x.node"))) & _close("p.x", "q.x", s)
-        ).select(F.col("p.x.node").alias("a"), F.col("q.x.node").alias("b")).distinct()
-        labels = connected(materialize(edges.union(_confirmed(pairs, sets, s)), "links"))
+    rest = _open_buckets(members, labels)
+    if rest is not None:
+        labels = connected(materialize(edges.union(_confirmed(_across(rest, nodes, sets, s), sets, s)), "links"))
 
     labelled = nodes.select("node", "min_id").join(labels, "node", "left").select("node", "min_id", F.coalesce("label", "node").alias("component"))
     smallest = materialize(labelled.groupBy("component").agg(F.min("min_id").alias("component_id")), "smallest")
-    of_node = materialize(materialize(labelled, "labelled").join(smallest, "component").select("node", "component", "component_id"), "classes")
+    of_node = materialize(labelled.join(smallest, "component").select("node", "component", "component_id"), "classes")
     kept = ["id", "text_key", "n_shingles", "component", "component_id"]
     linked = filled.select("id", "text_key", "n_shingles", "node").join(of_node, "node").select(*kept)
     alone = signed.filter("n_shingles = 0").select(
@@ -300,7 +285,54 @@ def components(df: DataFrame, row_id: str = "doc_id", text: str = "text", settin
     return linked.unionByName(alone)
 
 
-def _sets(source: DataFrame, nodes: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
+def _across(state: DataFrame, nodes: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (a, b) of open buckets, from different components, whose sketches agree: every node outside the main component
+    with all nodes of the others, compared inside the join. A pair comes out of the first bucket that it shares.
+
+    These nodes are few and alike, so they also get an odd sketch of their full sets. Each shingle that only one set has changes
+    one bit, so the bits that differ never exceed the symmetric difference, which a linked pair bounds by the sizes: no link
+    is lost, and up to some thousand shingles hardly a pair below the threshold is left.
+    """
+    wanted = state.select("node").distinct()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([_folded(x) for x in _as_sets(batch.column(1))], pa.list_(pa.int64()))], names=["node", "fine"])
+
+    ship_package(state.sparkSession)
+    sketched = sets.join(wanted, "node", "left_semi").select("node", "shingles").mapInArrow(run, "node binary, fine array<bigint>")
+    known = nodes.select("node", "n", "sketch", "bands").join(sketched, "node")
+    rest = materialize(state.join(known, "node").select("band", "label", "main", F.struct("node", "n", "sketch", "bands", "fine").alias("x")), "rest")
+    p, q = rest.filter("label != main").alias("p"), rest.alias("q")
+    first = F.get(F.filter(F.zip_with("p.x.bands", "q.x.bands", lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull()), F.lit(0))
+    differing = differing_bits(F.col("p.x.fine"), F.col("q.x.fine"), FINE_BITS)
+    on = (
+        (F.col("p.band") == F.col("q.band")) & (F.col("p.label") != F.col("q.label"))
+        & ((F.col("q.label") == F.col("q.main")) | (F.col("p.x.node") < F.col("q.x.node"))) & _close("p.x", "q.x", s)
+        & ((100 + s.percent) * differing <= (100 - s.percent) * (F.col("p.x.n") + F.col("q.x.n"))) & (first == F.col("p.band"))
+    )
+    return p.join(q, on).select(F.col("p.x.node").alias("a"), F.col("q.x.node").alias("b")).distinct()
+
+
+def _folded(shingles):
+    """The odd sketch of a whole set."""
+    import numpy as np
+
+    odd = np.bincount((_mixed(shingles) % np.uint64(FINE_BITS)).astype(np.int64), minlength=FINE_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _as_sets(column) -> list:
+    import numpy as np
+
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+
+
+def _sets(source: DataFrame, nodes: DataFrame, members: DataFrame, repeated: bool, s: Settings) -> DataFrame:
     """The full sets of all nodes that share a bucket, made again from one text of each."""
     wanted = nodes.select("node", "id", "text_key").join(members.select("node").distinct(), "node", "left_semi")
     texts = (source.alias("d").join(
@@ -317,17 +349,19 @@ def _sets(source: DataFrame, nodes: DataFrame, members: DataFrame, s: Settings)
         return work
 
     made = add_from_text(texts, "text", make, "s", SHINGLES, ["node"]).select("node", F.col("s.shingles").alias("shingles"))
-    return made.dropDuplicates(["node"])
+    # one text of a node was asked for; it comes more than once only if its whole row repeats
+    return made.dropDuplicates(["node"]) if repeated else made
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets with more than one component: band, node, label, the bucket's main label and its size."""
+def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Members of buckets with more than one component: band, node, label and the bucket's main label. None if there is no such
+    bucket."""
     rows = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     counted = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = materialize(
-        counted.groupBy("band").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("labels"), F.sum("n").alias("size"))
-        .filter("labels > 1").select("band", F.col("m.label").alias("main"), "size"), "mixed")
-    return rows.join(mixed, "band")
+        counted.groupBy("band").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
+        .filter("labels > 1").select("band", F.col("m.label").alias("main")), "mixed")
+    return materialize(rows.join(mixed, "band"), "open") if mixed.limit(1).count() else None
 
 
 def one_per_class(df: DataFrame, row_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:

@@ -1,5 +1,6 @@
 """NULLs, empty and very long texts, ties, repeated rows, empty tables, clashing columns, hot groups; and the parts by themselves."""
 
+import hashlib
 import random
 
 import brute
@@ -177,8 +178,10 @@ def test_rules_with_partial_paths(spark):
 
 # --- near duplicates ---------------------------------------------------------------------------------------------------------
 
-def test_large_groups_keep_their_links(spark):
+@pytest.mark.parametrize("large", [8, 256])
+def test_large_groups_keep_their_links(spark, monkeypatch, large):
     """Copies, chains and clusters around the threshold, whose buckets one leader can't settle."""
+    monkeypatch.setattr(minhash_dedup, "LARGE", large)
     rng = random.Random(5)
     texts = []
     for cluster in range(4):
@@ -208,9 +211,10 @@ def test_sketches_estimate_and_settings():
 
 
 def test_chain_is_one_component(spark):
-    edges = spark.createDataFrame([(bytes([k]), bytes([k + 1])) for k in range(40)], "a binary, b binary")
+    name = lambda k: hashlib.md5(str(k).encode()).digest()
+    edges = spark.createDataFrame([(name(k), name(k + 1)) for k in range(40)] + [(name(100), name(101))], "a binary, b binary")
     labels = {bytes(r.node): bytes(r.label) for r in minhash_dedup.connected(edges).collect()}
-    assert len(labels) == 41 and set(labels.values()) == {b"\0"}
+    assert len(labels) == 43 and len({labels[name(k)] for k in range(41)}) == 1 and labels[name(100)] == labels[name(101)] != labels[name(0)]
 
 
 # --- quality -----------------------------------------------------------------------------------------------------------------
@@ -247,8 +251,11 @@ def test_one_kind_of_label(spark):
 
 def test_gamma_quantiles():
     q = fingerprint.gamma_quantiles()
-    assert q == sorted(q) and sum(q) / len(q) == pytest.approx(2, abs=0.01)
-    assert sum((x - 2) ** 2 for x in q) / len(q) == pytest.approx(2, abs=0.05)
+    # entry k stands for probabilities from (k / n) ** 2 to ((k + 1) / n) ** 2
+    share = [(2 * k + 1) / len(q) ** 2 for k in range(len(q))]
+    assert q == sorted(q) and sum(share) == pytest.approx(1)
+    assert sum(x * w for x, w in zip(q, share)) == pytest.approx(2, abs=0.01)
+    assert sum((x - 2) ** 2 * w for x, w in zip(q, share)) == pytest.approx(2, abs=0.05)
 
 
 def test_mixture_meets_its_limits(spark):
