@@ -30,7 +30,7 @@ SAMPLES = 64
 #: entries of the table of gamma quantiles; entry k stands for probabilities around (k / STEPS) squared
 STEP_BITS = 11
 STEPS = 1 << STEP_BITS
-#: blocks of documents per shuffle partition; a block is a range of ids, the partitions a hash of blocks
+#: blocks of documents, and partitions of them, per shuffle partition; a block is a range of ids
 BLOCKS_PER_PARTITION = 4
 
 
@@ -131,7 +131,8 @@ def with_next(df: DataFrame, row_id: str, text: str) -> DataFrame:
              .groupBy("block").agg(F.min("id").alias("id"), F.min("text").alias("text")))
     size = max(total, 1)
     ends = heads.select("id", "text", ((F.col("block") + size - 1) % size).cast("int").alias("block"), F.lit(1).alias("end"))
-    both = placed.select("id", "text", "block", F.lit(0).alias("end")).unionByName(ends)
+    # as many partitions as there are blocks on average: the terms of a partition's texts are counted in memory
+    both = placed.select("id", "text", "block", F.lit(0).alias("end")).unionByName(ends).repartition(BLOCKS_PER_PARTITION * partitions, "block")
     order = Window.partitionBy("block").orderBy("end", "id", "text")
     dealt = (both.withColumn("pos", F.row_number().over(order)).withColumn("next_text", F.lead("text").over(order))
              .withColumn("next_end", F.lead("end").over(order)).filter("end = 0"))
