@@ -3,13 +3,15 @@
 Own words (``[^\\x20\\x09-\\x0D]+``): their number and characters, symbol characters, lines equal to an earlier line, and words in
 three-word windows that the text has twice or more. A document fails if it is too short or if such windows hold most of it.
 
-Shared lines: lines are normalised (trimmed, white space as one space, lower case) and hashed; for each host (``source``) the
-distinct documents that have a line are counted, equal texts as one document. Short lines in more documents than the limit
-are boilerplate and are removed; long lines are left to deduplication, so copies of a document do not lose it. A document
-that keeps less than a least share of its words, or too few words, is depleted and rejected.
+Shared lines: all lines, of any length, are normalised (trimmed, white space as one space, lower case) and hashed; for each
+host (``source``) the distinct documents that have a line are counted, equal texts as one document and near copies together as
+about one: a document counts as one of the many that share its own part, which is the rarest lines that hold a fifth of its
+words. Where a line holds more words than all rarer lines of the document together, it is what the document is about, and its
+documents together count as one too. Lines in more documents than the limit are boilerplate and are removed from every document.
+A document that keeps less than a least share of its words, or too few words, is depleted and rejected.
 
 NULL text has no words and fails; NULL host is a host of its own. DataFrame functions only. Per document everything is
-computed in its row; what is shuffled are line hashes and counts, never texts. Counts are distinct rows first, so a line
+computed in its row; what is shuffled are line hashes, words and counts, never texts. Counts are distinct rows first, so a line
 that a third of all documents share is counted in parallel.
 """
 
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.llm.texts import free_name, quoted
@@ -36,8 +38,8 @@ class Limits:
     most_repeated: int = 50
     #: distinct documents of a host that may share a line
     most_documents: int = 20
-    #: words of a line that can be boilerplate
-    line_words: int = 12
+    #: percent of its words that tell a document from its near copies
+    own_share: int = 20
     #: percent of its words that a document must keep, and words
     least_left: int = 40
     least_words_left: int = 20
@@ -74,8 +76,8 @@ def _repeated(df: DataFrame, words: str, into: str) -> DataFrame:
 
 
 def measured(df: DataFrame, row_id: str, text: str, host: str, limits: Limits) -> DataFrame:
-    """One light row per row: ``id``, ``text_key`` and ``host``, the counts, ``base_failed``, and the short lines as hashes with
-    the words that each holds in the text."""
+    """One light row per row: ``id``, ``text_key`` and ``host``, the counts, ``base_failed``, and the lines as hashes with the
+    words that each holds in the text."""
     rows = df.select(
         quoted(row_id).alias("id"), F.coalesce(quoted(host).cast("string"), F.lit("")).alias("host"),
         F.coalesce(quoted(text), F.lit("")).alias("text"))
@@ -88,15 +90,40 @@ def measured(df: DataFrame, row_id: str, text: str, host: str, limits: Limits) -
         F.length(F.regexp_replace("text", SPACE, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
-        F.filter(sized, lambda x: x["w"] <= limits.line_words).alias("short"))
+        sized.alias("lines"))
     failed = (F.col("n_words") < limits.least_words) | (100 * F.col("n_repeat_words") > limits.most_repeated * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
 
-def shared_lines(rows: DataFrame, limits: Limits) -> DataFrame:
-    """Of measured rows, the lines that more distinct documents of a host have than the limit: host, h."""
-    places = rows.select("host", "text_key", F.explode("short.h").alias("h")).distinct()
-    return (places.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents"))
+def line_places(rows: DataFrame) -> DataFrame:
+    """Of measured rows, each distinct text's distinct lines: host, text_key, n_words, h, and the words that the line holds there."""
+    one = rows.select("host", "text_key", "n_words", "lines").dropDuplicates(["host", "text_key"])
+    return (one.select("host", "text_key", "n_words", F.explode("lines").alias("line"))
+            .groupBy("host", "text_key", F.col("line.h").alias("h")).agg(F.max("n_words").alias("n_words"), F.sum("line.w").alias("w")))
+
+
+def weighed(places: DataFrame, counts: DataFrame, limits: Limits) -> DataFrame:
+    """The places of lines that more documents have than the limit, with ``alike``: as one of how many documents a document
+    counts there. ``counts`` has the documents n of each line that two or more have."""
+    doc = Window.partitionBy("host", "text_key")
+    by_count = doc.orderBy("n")
+    first = Window.unboundedPreceding
+    # every word stands in one line: what shared lines do not hold is the document's alone
+    alone = F.col("n_words") - F.sum("w").over(doc)
+    shared = places.join(counts, ["host", "h"]).select(
+        "*", alone.alias("alone"), F.sum("w").over(by_count.rangeBetween(first, -1)).alias("before"),
+        F.sum("w").over(by_count.rangeBetween(first, 0)).alias("upto"))
+    enough = lambda words: 100 * words >= limits.own_share * F.col("n_words")
+    own = F.when(enough(F.col("alone")), 1).otherwise(F.min(F.when(enough(F.col("alone") + F.col("upto")), F.col("n"))).over(doc))
+    rarer = F.col("alone") + F.coalesce("before", F.lit(0))
+    return (shared.withColumn("own", own).filter(F.col("n") > limits.most_documents)
+            .select("host", "text_key", "n_words", "h", "w", F.when(rarer >= F.col("w"), F.least("own", "n")).otherwise(F.col("n")).alias("alike")))
+
+
+def shared_lines(places: DataFrame, limits: Limits) -> DataFrame:
+    """Of weighed places, the lines that more documents of a host have than the limit, near copies counted once: host, h."""
+    # rounded: as many thirds as make a whole are one
+    return (places.groupBy("host", "h").agg(F.round(F.sum(1 / F.col("alike")), 6).alias("documents"))
             .filter(F.col("documents") > limits.most_documents).select("host", "h"))
 
 
@@ -104,18 +131,19 @@ def judged(df: DataFrame, row_id: str = "doc_id", text: str = "text", host: str
     """Two tables: the measured rows with ``depleted`` and ``kept``; and per (host, text_key) with boilerplate the hashes of the
     lines to remove."""
     rows = materialize(measured(df, row_id, text, host, limits), "measured")
-    # written: both joins below deal their two sides themselves, and a line or text that many rows share can be split
-    shared = materialize(shared_lines(rows, limits), "shared-lines")
-    one = rows.select("host", "text_key", "n_words", "short").dropDuplicates(["host", "text_key"])
+    # written: the joins below deal their two sides themselves, and a line or text that many rows share can be split
+    places = materialize(line_places(rows), "line-places")
+    counts = materialize(places.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "line-counts")
+    often = materialize(weighed(places, counts, limits), "weighed-lines")
+    shared = materialize(shared_lines(often, limits), "shared-lines")
     removed = materialize(
-        one.select("host", "text_key", "n_words", F.explode("short").alias("line")).select("host", "text_key", "n_words", F.col("line.h").alias("h"), F.col("line.w").alias("w"))
-        .join(shared, ["host", "h"])
+        often.join(shared, ["host", "h"])
         .groupBy("host", "text_key").agg(F.sum("w").alias("lost"), F.max("n_words").alias("n"), F.collect_set("h").alias("removed"))
         .select("host", "text_key", "removed", (
             (100 * (F.col("n") - F.col("lost")) < limits.least_left * F.col("n"))
             | (F.col("n") - F.col("lost") < limits.least_words_left)).alias("depleted")), "removed-lines")
     depleted = removed.filter("depleted").select("host", "text_key", "depleted")
-    out = rows.drop("short").join(depleted, ["host", "text_key"], "left").withColumn("depleted", F.coalesce("depleted", F.lit(False)))
+    out = rows.drop("lines").join(depleted, ["host", "text_key"], "left").withColumn("depleted", F.coalesce("depleted", F.lit(False)))
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("depleted")), removed
 
 

@@ -303,6 +303,23 @@ def test_prefixes_append_and_edit():
     assert byte_bpe.PrefixEncoder(merges, text).replace(9000, 9003, b"xyz") < 400
 
 
+def test_long_lines_are_counted_and_near_copies_kept(spark):
+    """A passage on one long line goes from otherwise different documents; near copies, which share nearly all lines, stay whole."""
+    passage = " ".join(f"notice{j}" for j in range(50))
+    rows = [(k, "\n".join(" ".join(f"d{k}l{i}w{j}" for j in range(20)) for i in range(4)) + "\n" + passage, "a") for k in range(40)]
+    rows.append((99, f"{passage}\nonly ten words of its own are here right now", "a"))
+    copied = [" ".join(f"c{i}w{j}" for j in range(20)) for i in range(10)]
+    rows += [(100 + k, "\n".join([*copied, f"copy number {k}"]), "a") for k in range(40)]
+    # a line in a few groups of near copies has few documents, however many copies there are
+    for g in range(3):
+        rows += [(200 + 20 * g + k, "\n".join([*(f"g{g} " + x for x in copied), "a line of three groups", f"copy number {k} of {g}"]), "a") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.text for r in quality_rules.clean(docs).collect()}
+    assert kept == {i: t.removesuffix("\n" + passage) for i, t, _ in rows if i != 99}
+    verdicts = {r.id: (r.base_failed, r.depleted) for r in quality_rules.judged(docs)[0].collect()}
+    assert {i for i, v in verdicts.items() if v != (False, False)} == {99} and verdicts[99] == (False, True)
+
+
 # --- secrets -----------------------------------------------------------------------------------------------------------------
 
 KEY = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
