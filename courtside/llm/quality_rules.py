@@ -7,7 +7,9 @@ Shared lines: all lines, of any length, are normalised (trimmed, white space as
 host (``source``) the distinct documents that have a line are counted, equal texts as one document and near copies together as
 about one: a document counts as one of the many that share its own part, which is the rarest lines that hold a fifth of its
 words. Where a line holds more words than all rarer lines of the document together, it is what the document is about, and its
-documents together count as one too. Lines in more documents than the limit are boilerplate and are removed from every document.
+documents together count as one too. Lines in more than a share of the host's distinct documents, and more than a few, are
+boilerplate and are removed from every document. Ordinary short lines recur by chance, as often as the host is large, so their
+share is the larger one.
 A document that keeps less than a least share of its words, or too few words, is depleted and rejected.
 
 NULL text has no words and fails; NULL host is a host of its own. DataFrame functions only. Per document everything is
@@ -36,8 +38,13 @@ class Limits:
     least_words: int = 50
     #: percent of the words that repeated windows may hold
     most_repeated: int = 50
-    #: distinct documents of a host that may share a line
+    #: distinct documents of a host that may share a line, however few the host has
     most_documents: int = 20
+    #: of a thousand distinct documents of a host, how many may share a short line, and a longer one
+    most_short: int = 50
+    most_long: int = 1
+    #: words of a short line
+    line_words: int = 12
     #: percent of its words that tell a document from its near copies
     own_share: int = 20
     #: percent of its words that a document must keep, and words
@@ -96,10 +103,11 @@ def measured(df: DataFrame, row_id: str, text: str, host: str, limits: Limits) -
 
 
 def line_places(rows: DataFrame) -> DataFrame:
-    """Of measured rows, each distinct text's distinct lines: host, text_key, n_words, h, and the words that the line holds there."""
+    """Of measured rows, each distinct text's distinct lines: host, text_key, n_words, h, the line's words, and w, the words
+    that it holds there, as often as it stands there."""
     one = rows.select("host", "text_key", "n_words", "lines").dropDuplicates(["host", "text_key"])
     return (one.select("host", "text_key", "n_words", F.explode("lines").alias("line"))
-            .groupBy("host", "text_key", F.col("line.h").alias("h")).agg(F.max("n_words").alias("n_words"), F.sum("line.w").alias("w")))
+            .groupBy("host", "text_key", F.col("line.h").alias("h")).agg(F.max("n_words").alias("n_words"), F.max("line.w").alias("line_words"), F.sum("line.w").alias("w")))
 
 
 def weighed(places: DataFrame, counts: DataFrame, limits: Limits) -> DataFrame:
@@ -117,14 +125,17 @@ def weighed(places: DataFrame, counts: DataFrame, limits: Limits) -> DataFrame:
     own = F.when(enough(F.col("alone")), 1).otherwise(F.min(F.when(enough(F.col("alone") + F.col("upto")), F.col("n"))).over(doc))
     rarer = F.col("alone") + F.coalesce("before", F.lit(0))
     return (shared.withColumn("own", own).filter(F.col("n") > limits.most_documents)
-            .select("host", "text_key", "n_words", "h", "w", F.when(rarer >= F.col("w"), F.least("own", "n")).otherwise(F.col("n")).alias("alike")))
+            .select("host", "text_key", "n_words", "h", "line_words", "w", F.when(rarer >= F.col("w"), F.least("own", "n")).otherwise(F.col("n")).alias("alike")))
 
 
-def shared_lines(places: DataFrame, limits: Limits) -> DataFrame:
-    """Of weighed places, the lines that more documents of a host have than the limit, near copies counted once: host, h."""
+def shared_lines(places: DataFrame, hosts: DataFrame, limits: Limits) -> DataFrame:
+    """Of weighed places, the lines that more documents of a host have than the limits, near copies counted once: host, h.
+    ``hosts`` has the distinct documents of each host as ``total``."""
     # rounded: as many thirds as make a whole are one
-    return (places.groupBy("host", "h").agg(F.round(F.sum(1 / F.col("alike")), 6).alias("documents"))
-            .filter(F.col("documents") > limits.most_documents).select("host", "h"))
+    lines = (places.groupBy("host", "h").agg(F.round(F.sum(1 / F.col("alike")), 6).alias("documents"), F.max("line_words").alias("line_words"))
+             .filter(F.col("documents") > limits.most_documents))
+    share = F.when(F.col("line_words") <= limits.line_words, limits.most_short).otherwise(limits.most_long)
+    return lines.join(hosts, "host").filter(1000 * F.col("documents") > share * F.col("total")).select("host", "h")
 
 
 def judged(df: DataFrame, row_id: str = "doc_id", text: str = "text", host: str = "source", limits: Limits = Limits()) -> tuple[DataFrame, DataFrame]:
@@ -135,7 +146,8 @@ def judged(df: DataFrame, row_id: str = "doc_id", text: str = "text", host: str
     places = materialize(line_places(rows), "line-places")
     counts = materialize(places.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "line-counts")
     often = materialize(weighed(places, counts, limits), "weighed-lines")
-    shared = materialize(shared_lines(often, limits), "shared-lines")
+    hosts = rows.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
+    shared = materialize(shared_lines(often, hosts, limits), "shared-lines")
     removed = materialize(
         often.join(shared, ["host", "h"])
         .groupBy("host", "text_key").agg(F.sum("w").alias("lost"), F.max("n_words").alias("n"), F.collect_set("h").alias("removed"))

@@ -320,6 +320,19 @@ def test_long_lines_are_counted_and_near_copies_kept(spark):
     assert {i for i, v in verdicts.items() if v != (False, False)} == {99} and verdicts[99] == (False, True)
 
 
+@pytest.mark.parametrize("size", [500, 2000])
+def test_limits_follow_the_size_of_the_host(spark, size):
+    """A short line in 4 % of a host's documents is ordinary, one in 8 % is boilerplate; a long one is from 1 in 1000, above a floor."""
+    rows, passage = [], " ".join(f"notice{j}" for j in range(30))
+    for k in range(size):
+        lines = [" ".join(f"d{k}w{j}" for j in range(60))]
+        lines += ["an ordinary line"] * (k % 25 == 0) + ["all rights reserved"] * (k % 25 < 2) + [passage] * (k % 20 == 3)
+        rows.append((k, "\n".join(lines), "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.text for r in quality_rules.clean(docs).collect()}
+    assert kept == {k: "\n".join(x for x in t.split("\n") if x not in ("all rights reserved", passage)) for k, t, _ in rows}
+
+
 # --- secrets -----------------------------------------------------------------------------------------------------------------
 
 KEY = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
