@@ -3,7 +3,8 @@
 Every node of the page's tree gets a density: characters per tag, adjusted by how many characters and tags belong to links.
 A node's density sum is the sum of its children's densities. The subtree with the largest sum holds the main text; the
 smallest density on the path from it to the body is the threshold: nodes beside that path that are at least as dense belong
-to the text too, unless the page names its article itself.
+to the text too. All nodes are scored; ``article`` and ``main`` weigh double. If the best subtree stands in an article (or else
+in a main element) whose weighted density reaches that of the subtree, the outermost such element is taken whole.
 
 What is never main text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) is
 left out of the tree by element name, role and class or id words. NULL and empty pages have an empty text. A headline inside
@@ -48,6 +49,9 @@ LEFT_OUT_WORDS = frozenset(
     "notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead topbar "
     "footer sidebar side widget related recommended share sharing social newsletter subscribe signup login search comment comments "
     "respond disqus replies".split())
+#: elements that say that they hold the text, the more exact first, and how much more their densities and sums weigh
+NAMED = ("article", "main")
+NAMED_WEIGHT = 2
 _WORD = re.compile(r"[a-z0-9]+")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -231,46 +235,28 @@ def _densities(tree: _Tree) -> tuple[list[float], list[float]]:
 
 
 def _selected(tree: _Tree) -> set[int]:
-    """The roots of what is main text."""
+    """The roots of what is main text: the best subtree, or the article around it, and what is as dense beside the path up."""
     density, total = _densities(tree)
     n = len(tree.name)
+    weight = [NAMED_WEIGHT if tree.name[i] in NAMED else 1 for i in range(n)]
     allowed = [i for i in range(n) if not tree.out[i]]
-    named = next((w for w in ("article", "main") if any(tree.name[i] == w and total[i] + density[i] > 0 for i in allowed)), None)
-    if named:
-        # the page says where its articles are: the best subtree is looked for in and above them
-        above = set()
-        for i in allowed:
-            node = i
-            while tree.name[i] == named and node >= 0 and node not in above:
-                above.add(node)
-                node = tree.parent[node]
-        inside = [False] * n
-        for i in range(n):
-            inside[i] = tree.name[i] == named or i > 0 and inside[tree.parent[i]]
-        allowed = [i for i in allowed if inside[i] or i in above]
     if not allowed:
         return set()
-    best = max(allowed, key=lambda i: (total[i], density[i], -i))
+    best = max(allowed, key=lambda i: (weight[i] * total[i], weight[i] * density[i], -i))
     path, node = [], best
     while node >= 0 and tree.name[node] not in ("body", "html", "#page"):
         path.append(node)
         node = tree.parent[node]
-    if named:
-        around = [i for i in path if tree.name[i] == named]
-        if around:
-            return {around[-1]}
-        below, outer = [False] * n, set()
-        for i in range(n):
-            p = tree.parent[i]
-            below[i] = i == best or p >= 0 and below[p]
-            if below[i] and tree.name[i] == named and not tree.out[i]:
-                outer.add(i)
-        return outer
     if not path:
         return {best}
     threshold = min([density[i] for i in path if density[i] > 0], default=0.0)
-    top = path[-1]
-    return {top} | {i for i in allowed if tree.parent[i] == tree.parent[top] and density[i] >= threshold > 0}
+    around = [k for w in NAMED for k, i in enumerate(path) if tree.name[i] == w and weight[i] * density[i] >= density[best]]
+    first = tree.name[path[around[0]]] if around else ""
+    k = max([k for k in around if tree.name[path[k]] == first], default=0)
+    # beside the path: what has a parent on it, above the root, and is not on it itself
+    above = {tree.parent[i] for i in path[k:]}
+    on = set(path)
+    return {path[k]} | {i for i in allowed if i not in on and tree.parent[i] in above and weight[i] * density[i] >= threshold > 0}
 
 
 def main_text(page: str) -> str:

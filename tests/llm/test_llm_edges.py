@@ -133,6 +133,25 @@ def test_densest_subtree_without_article():
     assert "reader" not in html_extract.main_text(PAGE % body)
 
 
+def _paragraphs(kind, n):
+    return [f"Sentence number {k} of the {kind}, with words enough to be dense." for k in range(n)]
+
+
+def _marked(lines):
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+def test_element_names_do_not_replace_density():
+    first, second, third = (_paragraphs(kind, n) for kind, n in (("first", 6), ("second", 4), ("third", 3)))
+    body = "<div>" + "".join(f"<article>{_marked(x)}</article>" for x in (first, second, third)) + "</div>"
+    assert html_extract.main_text(PAGE % body).split("\n") == first + second + third
+    body = f"<div>{_marked(first)}</div><article><p>Short teaser</p></article>"
+    assert html_extract.main_text(PAGE % body).split("\n")[:6] == first
+    links = "".join(f"<li><a href=/{k}>Story {k}</a></li>" for k in range(8))
+    body = f"<div><ul>{links}</ul><div>{_marked(first)}</div></div>"
+    assert html_extract.main_text(PAGE % body).split("\n") == first
+
+
 def test_broken_pages():
     assert html_extract.main_text("") == ""
     assert html_extract.main_text("plain <words & more") == "plain <words & more"
