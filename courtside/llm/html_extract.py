@@ -6,8 +6,11 @@ smallest density on the path from it to the body is the threshold: nodes beside
 to the text too. All nodes are scored; ``article`` and ``main`` weigh double. If the best subtree stands in an article (or else
 in a main element) whose weighted density reaches that of the subtree, the outermost such element is taken whole.
 
-What is never main text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) is
-left out of the tree by element name, role and class or id words. NULL and empty pages have an empty text. A headline inside
+What is never main text (menus, headers, footers, forms, scripts, styles, hidden parts) is left out of the tree by element name
+and role. Class or id words of sidebars, notices, adverts, sharing and reader comments halve the density of their subtree, and
+leave it out if it holds neither an article nor a main element and either less than half of the page's text outside links or,
+beside an article, a halved density sum below the article's doubled one; inside an article only if its halved density does not
+reach the article's. They mean nothing in code (``pre``, ``code``). NULL and empty pages have an empty text. A headline inside
 an article's header is kept. White space inside a block becomes one space, blocks are joined by one line feed, character
 references are decoded. Trees of any depth and pages of any length are read in linear time, without recursion.
 """
@@ -39,7 +42,7 @@ ENDS = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr":
 #: an end is not looked for beyond these
 WALLS = frozenset("html body table td th ul ol dl div article section main aside nav header footer form".split())
 
-# What is never main text: by element, by role, by the words of class and id.
+# What is never main text: by element, by role; what rarely is: by the words of class and id.
 LEFT_OUT = frozenset(
     "head script style noscript template nav header footer aside form button select textarea input label fieldset iframe object "
     "embed canvas svg math audio video map menu dialog title".split())
@@ -49,6 +52,13 @@ LEFT_OUT_WORDS = frozenset(
     "notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead topbar "
     "footer sidebar side widget related recommended share sharing social newsletter subscribe signup login search comment comments "
     "respond disqus replies".split())
+#: percent of the page's text outside links that keeps a subtree with such words, and what they do to its density
+LEAST_SHARE = 50
+PENALTY = 0.5
+#: elements that hold a page or its text, whatever their class
+HOLDERS = frozenset("html body article main".split())
+#: elements whose class words name parts of code
+CODE = frozenset("pre code samp kbd".split())
 #: elements that say that they hold the text, the more exact first, and how much more their densities and sums weigh
 NAMED = ("article", "main")
 NAMED_WEIGHT = 2
@@ -83,24 +93,27 @@ def _tag_end(page: str, start: int) -> int:
 
 
 class _Tree:
-    """Nodes in page order: parent, name, whether they are left out, whether they stand in an article or in its header; text
-    pieces with the node they stand in."""
+    """Nodes in page order: parent, name, whether they are left out, whether they have words of what rarely is main text, the
+    article that they stand in (-1: none), whether they stand in its header or in code; text pieces with the node they stand in."""
 
     def __init__(self):
-        self.parent, self.name, self.out, self.article, self.header, self.pieces = [-1], ["#page"], [False], [False], [False], []
+        self.parent, self.name, self.out, self.doubtful, self.article = [-1], ["#page"], [False], [False], [-1]
+        self.header, self.code, self.pieces = [False], [False], []
 
     def add(self, parent: int, name: str, attributes: str) -> int:
         out, article, header = self.out[parent], self.article[parent], self.header[parent]
         if not out:
-            if name == "header" and article:
+            if name == "header" and article >= 0:
                 header = True
             elif header and name not in HEADLINE_PARTS or _left_out(name, attributes):
                 out = True
         self.parent.append(parent)
         self.name.append(name)
         self.out.append(out)
-        self.article.append(article or name == "article")
+        self.doubtful.append(not out and not self.code[parent] and name not in HOLDERS and _doubtful(attributes))
+        self.article.append(len(self.name) - 1 if name == "article" else article)
         self.header.append(header)
+        self.code.append(self.code[parent] or name in CODE)
         return len(self.name) - 1
 
 
@@ -111,8 +124,6 @@ def _left_out(name: str, attributes: str) -> bool:
         return False
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and name not in ("html", "body", "article", "main") and not LEFT_OUT_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
         if key == "class" and name == "article" and {"comment", "comments"} & set(_WORD.findall(value)):
             return True
         if key == "role" and value in LEFT_OUT_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
@@ -122,8 +133,35 @@ def _left_out(name: str, attributes: str) -> bool:
     return False
 
 
+def _doubtful(attributes: str) -> bool:
+    return any(key.lower() in ("class", "id") and not LEFT_OUT_WORDS.isdisjoint(_WORD.findall("".join(values).lower()))
+               for key, *values in (_ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ()))
+
+
+def _judge_doubtful(tree: _Tree) -> None:
+    """Marks as out the subtrees with words of what rarely is main text that neither hold an article nor much of the text."""
+    if not any(tree.doubtful):
+        return
+    chars, tags, link_chars = _counted(tree)[:3]
+    n = len(tree.name)
+    holds = [False] * n
+    for i in range(n - 1, 0, -1):
+        if not tree.out[i] and (holds[i] or tree.name[i] in NAMED):
+            holds[tree.parent[i]] = True
+    least = LEAST_SHARE * (chars[0] - link_chars[0])
+    total = _densities(tree)[1]
+    rival = NAMED_WEIGHT * max((total[i] for i in range(n) if tree.name[i] == "article" and not tree.out[i]), default=0.0)
+    for i in range(1, n):
+        if tree.out[tree.parent[i]]:
+            tree.out[i] = True
+        elif tree.doubtful[i] and not tree.out[i] and not holds[i]:
+            a = tree.article[i]
+            dense = a >= 0 and PENALTY * (chars[i] - link_chars[i]) * max(tags[a], 1) >= (chars[a] - link_chars[a]) * max(tags[i], 1)
+            tree.out[i] = not dense and (100 * (chars[i] - link_chars[i]) < least or PENALTY * total[i] < rival)
+
+
 def _parse(page: str) -> _Tree:
-    """The tree. ``out`` marks nodes in or below something that is never main text."""
+    """The tree. ``out`` marks nodes in or below something that is not main text."""
     tree = _Tree()
     open_nodes, count = [0], Counter()
     at, size = 0, len(page)
@@ -198,12 +236,13 @@ def _parse(page: str) -> _Tree:
             continue
         open_nodes.append(node)
         count[name] += 1
+    _judge_doubtful(tree)
     return tree
 
 
-def _densities(tree: _Tree) -> tuple[list[float], list[float]]:
-    """Composite density of every node and the sum over its children. Children come after their parent, so one walk from the
-    end adds everything up."""
+def _counted(tree: _Tree) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Characters, tags, characters in links and links at or below every node. Children come after their parent, so one walk
+    from the end adds everything up."""
     n = len(tree.name)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for node, piece in tree.pieces:
@@ -219,6 +258,13 @@ def _densities(tree: _Tree) -> tuple[list[float], list[float]]:
         tags[p] += tags[i] + 1
         link_chars[p] += link_chars[i]
         link_tags[p] += link_tags[i]
+    return chars, tags, link_chars, link_tags
+
+
+def _densities(tree: _Tree) -> tuple[list[float], list[float]]:
+    """Composite density of every node and the sum over its children."""
+    n = len(tree.name)
+    chars, tags, link_chars, link_tags = _counted(tree)
     body = next((i for i in range(n) if tree.name[i] == "body"), 0)
     ratio = link_chars[body] / max(chars[body], 1)
     density, total = [0.0] * n, [0.0] * n
@@ -229,6 +275,8 @@ def _densities(tree: _Tree) -> tuple[list[float], list[float]]:
             base = math.log(c / max(c - link_chars[i], 1) * link_chars[i] + ratio * c + math.e)
             inner = c / lc * t / lt
             density[i] = c / t * (math.log(inner) / math.log(base) if inner > 1 and base > 1 else 0.0 if inner <= 1 else math.log(inner))
+            if tree.doubtful[i]:
+                density[i] *= PENALTY
         if i:
             total[tree.parent[i]] += density[i]
     return density, total

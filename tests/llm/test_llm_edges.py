@@ -152,6 +152,28 @@ def test_element_names_do_not_replace_density():
     assert html_extract.main_text(PAGE % body).split("\n") == first
 
 
+@pytest.mark.parametrize("wrapper", ["class='content-sidebar-wrap'", "class='layout with-sidebar'", "id='page-header-fixed'", "class=has-sidebar"])
+def test_class_words_do_not_drop_the_text(wrapper):
+    lines = _paragraphs("text", 8)
+    for inner in (f"<article>{_marked(lines)}</article>", f"<div>{_marked(lines)}</div>"):
+        assert html_extract.main_text(PAGE % f"<div {wrapper}>{inner}</div>").split("\n") == lines
+
+
+def test_class_words_beside_an_article():
+    lines = _paragraphs("text", 8)
+    body = f"<div class='has-sidebar'>{_marked(lines)}</div><article><p>Short teaser</p></article>"
+    assert html_extract.main_text(PAGE % body).split("\n")[:8] == lines
+    assert html_extract.main_text(f"<body><div class=ad>{lines[0] * 9}</div><article><h1>Brief.</h1><p>Brief.</article>") == "Brief.\nBrief."
+
+
+def test_class_words_inside_an_article():
+    lines = _paragraphs("text", 8)
+    code = "<pre><code>x = 1 <span class='hljs-comment'># one</span> <span class='token comment'># two</span></code></pre>"
+    dense = "A notice-board is described here at length, " * 6
+    body = f"<article>{_marked(lines)}{code}<div class='notice-board'><p>{dense}</p></div><div class='share'><a href=x>Share</a> this</div></article>"
+    assert html_extract.main_text(PAGE % body).split("\n") == [*lines, "x = 1 # one # two", dense.strip()]
+
+
 def test_broken_pages():
     assert html_extract.main_text("") == ""
     assert html_extract.main_text("plain <words & more") == "plain <words & more"
