@@ -67,29 +67,23 @@ _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 
 
-def _tag_end(page: str, start: int) -> int:
-    """Where the tag that starts at ``start`` ends: the next ``>`` outside quotes, or the first one if quotes don't close."""
-    first = page.find(">", start)
-    at = start
-    while True:
-        end = page.find(">", at)
-        if end < 0:
-            return first
-        inside = page[start:end]
-        if '"' not in inside and "'" not in inside:
-            return end
-        quote, i = "", 0
-        for i, c in enumerate(inside):
-            if quote:
-                quote = "" if c == quote else quote
-            elif c in "\"'" and inside[:i].rstrip().endswith("="):
-                quote = c
-        if not quote:
-            return end
-        close = page.find(quote, end)
-        if close < 0 or close - start > 100_000:
-            return first
-        at = close
+#: the rest of a tag: a value in quotes belongs to it as a whole; a quote that does not close is a character like others
+_TAG_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|))*+>""")
+
+
+class _TagEnds:
+    """Where the tags of a page end: the next ``>`` outside quoted values of any length. A page that ends inside a tag, all quotes
+    closed, has no such end; there and from there on the first ``>`` ends a tag, so that no part is looked through again."""
+
+    def __init__(self, page: str):
+        self.page, self.plain = page, False
+
+    def after(self, start: int) -> int:
+        rest = None if self.plain else _TAG_REST.match(self.page, start)
+        if rest:
+            return rest.end() - 1
+        self.plain = True
+        return self.page.find(">", start)
 
 
 class _Tree:
@@ -162,7 +156,7 @@ def _judge_doubtful(tree: _Tree) -> None:
 
 def _parse(page: str) -> _Tree:
     """The tree. ``out`` marks nodes in or below something that is not main text."""
-    tree = _Tree()
+    tree, ends = _Tree(), _TagEnds(page)
     open_nodes, count = [0], Counter()
     at, size = 0, len(page)
     lower = None
@@ -195,7 +189,7 @@ def _parse(page: str) -> _Tree:
             text(lt, lt + 1)
             at = lt + 1
             continue
-        end = _tag_end(page, named.end())
+        end = ends.after(named.end())
         if end < 0:
             text(lt, size)
             break

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import brute
 import pytest
@@ -174,6 +175,21 @@ def test_class_words_inside_an_article():
     assert html_extract.main_text(PAGE % body).split("\n") == [*lines, "x = 1 # one # two", dense.strip()]
 
 
+@pytest.mark.parametrize("size", [10, 99_000, 101_000, 2_000_000])
+def test_quoted_values_of_any_length(size):
+    """Markup inside a value is no text, however long the value is; a quote that never closes hides nothing."""
+    value = "<p>not text</p> a > b " + "x" * size
+    assert html_extract.main_text(f"<body><div data-a='{value}' data-b=\"it's {value}\"><p>Text</p></div></body>") == "Text"
+    assert html_extract.main_text(f"<body><div data-a='1' data-b=\"open><p>Text {'x' * size}</p></div></body>") == f"Text {'x' * size}"
+
+
+def test_tags_without_an_end_are_read_once():
+    for piece in ("<a b='>' c=\">\" ", "<a b=\">", "<a b='", "<a b=\"'\" c='", "<a =", "<a b= "):
+        start = time.perf_counter()
+        html_extract.main_text("<body>" + piece * 100_000)
+        assert time.perf_counter() - start < 20
+
+
 def test_broken_pages():
     assert html_extract.main_text("") == ""
     assert html_extract.main_text("plain <words & more") == "plain <words & more"
