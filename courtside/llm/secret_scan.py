@@ -1,11 +1,12 @@
 """Secret scans: spans of credentials, and weak parts that count only beside their complements.
 
 Strong kinds are reported wherever they stand: ``assign`` (a keyword and its value), ``access`` (an access identifier) and
-``hex`` (a long run of hex digits). Weak kinds are parts of multipart credentials: ``key`` (a 40 character run with both
-letter cases and a digit, the shape of a secret key), ``user`` (a client or user identifier) and ``host`` (an endpoint).
+``hex`` (a long run of hex digits). Weak kinds are parts of multipart credentials: ``key`` (a run of 20 or more
+letters, digits and ``+/_-``, padding included, that looks random: see ``_random``), ``user`` (a client or user identifier) and ``host`` (an endpoint).
 A weak part is reported only if a complementary part stands within ``reach`` characters inside the same scope; a scope is a
 run of lines without an empty line between them. Complements: a key needs an access identifier, a user or a host; a user
-and a host need a key.
+and a host need a key. A run that is an access identifier, a user or a host itself is no key; one that starts in such a part
+and goes on behind it is judged by what follows.
 
 Linking is an interval join. Parts are cut into bins of ``reach`` characters per row and scope; per bin and kind only the
 outermost places are kept, so a part meets three bins of at most one row per kind however many parts a text has. Starts
@@ -16,8 +17,11 @@ NULL text counts as empty: no spans. Positions are code points, ends are exclusi
 
 from __future__ import annotations
 
+import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +39,11 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ["assign", "access", "hex"]
 
 # Weak parts.
-WEAK_KEY = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
+WEAK_KEY = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])"
+LEAST_KEY = 20
+#: bits a character of a key, and the unbroken piece that a key without both letter cases has
+LEAST_BITS = 3.0
+LEAST_PIECE = 16
 WEAK_USER = r"(?:client|user|account|tenant)_?(?:id|name)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._-]{3,})"
 WEAK_HOST = r"(?:endpoint|host|server|base_?url)[\"']?\x20*[:=]\x20*[\"']?((?:https?://)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
 WEAK = ["key", "user", "host"]
@@ -68,11 +76,12 @@ def _finder():
         if "AKIA" in text:
             strong += [("access", *m.span()) for m in access(text) if m.end() - m.start() >= LEAST["access"]]
         strong += [("hex", *m.span()) for m in hexes(text)]
-        keys = [m.span() for m in key(text) if _mixed(m[0])]
+        keys = [m.span() for m in key(text) if _random(m[0])]
         if keys:
-            weak += [("key", *s) for s in keys]
-            weak += [("user", *m.span(1)) for m in user(text)]
-            weak += [("host", *m.span(1)) for m in host(text)]
+            parts = [("user", *m.span(1)) for m in user(text)] + [("host", *m.span(1)) for m in host(text)]
+            keys = _beside(text, keys, [s for s in strong if s[0] == "access"] + parts)
+        if keys:
+            weak += [("key", *s) for s in keys] + parts
         if not weak:
             return [{"kind": k, "start": a, "end": b, "scope": 0} for k, a, b in strong], []
         borders = [m.start() for m in empty_line(text)]
@@ -85,8 +94,32 @@ def _finder():
     return found
 
 
-def _mixed(run: str) -> bool:
-    return any(c.isdigit() for c in run) and any(c.isupper() for c in run) and any(c.islower() for c in run)
+def _random(run: str) -> bool:
+    """Digits and both letter cases, or digits and letters with a long piece unbroken by ``+/_-``; and many different characters,
+    unless it has the exact shape of a 40 character key."""
+    body = run.rstrip("=")
+    upper, lower = any(c.isupper() for c in body), any(c.islower() for c in body)
+    if not any(c.isdigit() for c in body) or not (upper or lower):
+        return False
+    if upper and lower and len(run) == 40 and not set(run) & set("=_-"):
+        return True
+    if not (upper and lower) and max(map(len, re.split("[+/_-]", body))) < LEAST_PIECE:
+        return False
+    return -sum(n / len(body) * math.log2(n / len(body)) for n in Counter(body).values()) >= LEAST_BITS
+
+
+def _beside(text: str, keys: list[tuple[int, int]], parts: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """Of keys in ascending order, what no other part covers: those that start in a part are cut at its end and judged again."""
+    borders = sorted((a, b) for _, a, b in parts)
+    # the furthest end of the parts that start up to each one
+    ends = list(accumulate((b for _, b in borders), max))
+    out = []
+    for a, b in keys:
+        k = bisect_right(borders, (a, len(text)))
+        start = max(a, ends[k - 1]) if k else a
+        if start == a or b - start >= LEAST_KEY and _random(text[start:b]):
+            out.append((start, b))
+    return out
 
 
 def candidates(df: DataFrame, text: str, into: str, keep: list[str] | None = None) -> DataFrame:
@@ -148,18 +181,20 @@ def scan(df: DataFrame, text: str = "text", into: str = "found", keep: list[str]
     # written, so that the join below deals both of its sides itself and can split a digest that many copies share
     linked = materialize(link(weak, ["digest"], reach).groupBy("digest").agg(
         F.sort_array(F.collect_set(F.struct("start", "end", "kind"))).alias("linked")), "linked")
+    of, more = free_name(found, "_linked_digest"), free_name(found, "_linked")
+    linked = linked.toDF(of, more)
     open_rows = found.filter(F.size(f"{into}.weak") > 0)
-    confirmed = open_rows.join(linked, open_rows[digest] == linked["digest"], "left")
+    confirmed = open_rows.join(linked, F.col(digest) == F.col(of), "left")
     plain = lambda a: F.transform(a, lambda x: F.struct(
         x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
 
-    def result(rows: DataFrame, more: Column) -> DataFrame:
+    def result(rows: DataFrame, spans: Column) -> DataFrame:
         return rows.select(*[quoted(c) for c in names], F.struct(
-            plain(F.col(f"{into}.strong")).alias("strong"), more.alias("linked")).alias(into))
+            plain(F.col(f"{into}.strong")).alias("strong"), spans.alias("linked")).alias(into))
 
     return result(found.filter(F.size(f"{into}.weak") == 0), none).unionByName(
-        result(confirmed, F.coalesce(plain(F.col("linked")), none)))
+        result(confirmed, F.coalesce(plain(F.col(more)), none)))
 
 
 def spans_text(spans: Column) -> Column:

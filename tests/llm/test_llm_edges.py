@@ -404,6 +404,25 @@ def test_weak_parts_need_complements(spark):
     assert found == {0: [("key", KEY)], 1: [], 2: [], 3: [], 4: [("host", "https://db.example.test"), ("key", KEY), ("user", "some.user")], 5: [], 6: []}
 
 
+def test_keys_of_any_shape(spark):
+    account = "Zm9vYmFyMTIzNDU2Nzg5MHF3ZXJ0eXVpb3BBU0RGR0hKS0xaWENWQk5NMTIzNDU2Nzg5MGFiY2RlZmdoaWprbG1ub3A0Ng=="
+    client, short, dashed = "q7w3e9r1t5y8u2i4o6p0a1s3d5f7g9h2", "aB3dE6gH9jK2mN5pQ8sT", "GOCSPX-4kd9_Xw2-Lq8ZpT1vB7nR3"
+    cases = {
+        f"AccountName=mystore;AccountKey={account};x": [("user", "mystore"), ("key", account)],
+        f"client_id: my.app, value: {client}.": [("user", "my.app"), ("key", client)],
+        f"host=db.example.test {short}": [("host", "db.example.test"), ("key", short)],
+        f"client_id = some-app '{dashed}'": [("user", "some-app"), ("key", dashed)],
+        # nothing beside it, the identifier itself, words and numbers, few different characters
+        f"value {account}": [], f"client_id={client}": [], "user_name: bob see the-second-part-of-chapter-2-and-3": [],
+        "user_name: bob 12345678901234567890123": [], f"user_name: bob {'aB1' * 9}": [],
+        f"endpoint: https://hooks.example.test/services/{short}": [("host", "https://hooks.example.test"), ("key", f"/services/{short}")],
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id int, text string")
+    texts = list(cases)
+    found = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.found.linked] for r in secret_scan.scan(docs).collect()}
+    assert found == dict(enumerate(cases.values()))
+
+
 def test_many_parts_in_one_text(spark):
     """As many weak as strong parts in one scope: linked without pairing them all."""
     text = " ".join(f"AKIA{k:016d} {k:039d}aB"[:80] + f" {KEY}" for k in range(3000))
