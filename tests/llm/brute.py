@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import collections
+import fractions
 import hashlib
 import html
 import math
@@ -114,6 +115,39 @@ def boilerplate(rows: list[tuple[str, str]], documents: int, line_words: int) ->
     return out
 
 
+def shared_lines(rows: set[tuple[str, str]]) -> set[tuple[str, str]]:
+    """Of distinct (host, text), the (host, normalised line) that are boilerplate."""
+    held = {}
+    for host, text in rows:
+        held[host, text] = words = collections.Counter()
+        for line in text.split("\n"):
+            if WORD.search(line):
+                words[normal_line(line)] += len(WORD.findall(line))
+    count = collections.Counter((host, line) for (host, _), words in held.items() for line in words)
+    total = collections.Counter(host for host, _ in rows)
+    weight = collections.defaultdict(fractions.Fraction)
+    for (host, _), words in held.items():
+        everything = sum(words.values())
+        up_to = lambda c: sum(w for x, w in words.items() if count[host, x] <= c)
+        own = min((c for c in {count[host, x] for x in words} if 5 * up_to(c) >= everything), default=1)
+        for line, w in words.items():
+            n = count[host, line]
+            weight[host, line] += fractions.Fraction(1, min(own, n) if up_to(n - 1) >= w else n)
+    return {(host, line) for (host, line), n in weight.items()
+            if n > 20 and 1000 * n > (50 if len(line.split(" ")) <= 12 else 1) * total[host]}
+
+
+def quality_kept(rows: list[tuple[str, str]]) -> list[bool]:
+    """Of (host, text), whether the quality rules keep each."""
+    shared = shared_lines(set(rows))
+    out = []
+    for host, text in rows:
+        words, *_, failed = quality_base(text)
+        lost = sum(len(WORD.findall(x)) for x in text.split("\n") if (host, normal_line(x)) in shared)
+        out.append(not failed and not (lost and (5 * (words - lost) < 2 * words or words - lost < 20)))
+    return out
+
+
 def strong_spans(text: str) -> list[tuple]:
     found = [(m.start(), 0, m.end(), "assign") for m in re.finditer(
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 6]

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from courtside.llm import queries
+from courtside.llm import quality_rules, queries
 from oracle import compare, connect
 
 
@@ -103,6 +103,18 @@ def test_quality_rules(spark, sf_dir, documents):
         assert got[i].kept <= (not got[i].base_failed)
 
 
+def test_kept_by_quality_rules(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    rows = sorted(rows_of(sf_dir, "documents", "doc_id", "source", "text"))
+    pairs = [(s or "", t or "") for _, s, t in rows]
+    got = by_id(queries.QUERIES["op7_quality_rules"](spark, sf_dir), "doc_id")
+    assert {i: got[i].kept for i, *_ in rows} == {i: k for (i, *_), k in zip(rows, brute.quality_kept(pairs))}
+    measured = quality_rules.judged(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))[1]
+    removed = {(r.host, h) for r in measured.collect() for h in r.removed}
+    expected = brute.shared_lines(set(pairs))
+    assert expected and len(removed) == len(expected)
+
+
 def test_byte_bpe(spark, sf_dir, documents):
     got = by_id(queries.QUERIES["op8_byte_bpe"](spark, sf_dir), "doc_id")
     for i, text in documents.items():
