@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.llm import (
-    byte_bpe, fingerprint, html_extract, license_scan, minhash_dedup, mixing, quality_model, quality_rules, secret_scan, url_filter,
+    byte_bpe, fingerprint, html_extract, license_scan, line_dedup, minhash_dedup, mixing, quality_model, quality_rules, secret_scan,
+    url_filter,
 )
 from courtside.workload.registry import Query
 
@@ -182,3 +183,29 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
         F.col("id").alias("doc_id"), "source", "block", F.col("position").cast("long").alias("position"), "n_tokens")
+
+
+OP13_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), places AS (
+  SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM rows
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM places
+), often AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT r, doc_id, line, place, often.key IS NOT NULL AND doc_id <> keeper AS dropped FROM keyed LEFT JOIN often USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
+
+@query("op13_line_dedup", OP13_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
