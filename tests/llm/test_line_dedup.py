@@ -101,7 +101,7 @@ def test_query(spark, sf_dir):
 
 def test_hot_key_counts_before_the_shuffle(spark):
     """What reaches the count by key is one row per key and task, not one per place."""
-    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(LONG).alias("text"))
+    df = spark.range(1000).repartition(4).select(F.col("id").alias("doc_id"), F.lit(LONG).alias("text"))
     places = line_dedup.line_places(df, "doc_id", "text", line_dedup.Limits())
     plan = line_dedup.frequent_keys(places, line_dedup.Limits())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(h1") == 2 and "partial_max" in plan
