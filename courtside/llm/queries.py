@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.llm import (
-    byte_bpe, fingerprint, html_extract, license_scan, line_dedup, minhash_dedup, mixing, quality_model, quality_rules, secret_scan,
-    url_filter,
+    byte_bpe, conversation_repair, fingerprint, html_extract, license_scan, line_dedup, minhash_dedup, mixing, quality_model, quality_rules,
+    ranked_search, secret_scan, url_filter,
 )
 from courtside.workload.registry import Query
 
@@ -185,6 +185,56 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "source", "block", F.col("position").cast("long").alias("position"), "n_tokens")
 
 
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(conversation_repair.damaged(given))
+    found = repaired.conversations.join(conversation_repair.digests(repaired.turns), "key", "left").drop("key")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # conversations that lost all their rows have nothing to repair
+    return given.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), sizes AS (
+  SELECT r, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0
+), total AS (
+  SELECT count(*) AS nd, sum(n)::BIGINT AS nt FROM sizes
+), asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+), postings AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), total
+), scored AS (
+  SELECT item_id, doc_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // nt))))::BIGINT AS score
+  FROM postings JOIN asked USING (term) JOIN weights USING (term) JOIN sizes USING (r), total GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op12_ranked_search", OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 OP13_SQL = """
 WITH rows AS (
   SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents

@@ -35,6 +35,11 @@ def odd_dir(spark, tmp_path_factory):
              (2, "x://a.net/fr/", "<p>one<p>two <b>three"), (2, "x://a.net/fr/", "<p>one<p>two <b>three"), (3, "http://com", "<div " * 2000)]
     spark.createDataFrame(pages, "page_id long, url string, html string").withColumns(
         {k: F.lit("c") for k in ("text", "host", "path", "rule", "verdict", "main", "start", "copies")}).write.parquet(f"{top}/pages.parquet")
+    turns = [(1, 0, "user", "a."), (1, 0, "user", "a."), (1, None, None, None), (None, 2, "", ""), (2, 5, "system", LONG), (3, 7, "assistant", " \n")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns(
+        {k: F.lit(1) for k in ("key", "conv", "place", "fault", "segment", "audit", "step")}).write.parquet(f"{top}/conversations.parquet")
+    spark.createDataFrame([(1, "term1 term2 b"), (1, "term1 term2 b"), (None, "word3"), (2, None), (3, ""), (4, "unheard")], "item_id long, text string").withColumns(
+        {k: F.lit(1) for k in ("rank", "score", "doc_id", "body", "n")}).write.parquet(f"{top}/benchmark.parquet")
     spark.createDataFrame([(4, 1, 0), (4, 1, 0), (None, 0, 0), (9, None, 1), (77, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{top}/labels.parquet")
     return str(top)
 
@@ -42,7 +47,7 @@ def odd_dir(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def empty_dir(spark, odd_dir, tmp_path_factory):
     top = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "conversations", "benchmark"):
         spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0).write.parquet(f"{top}/{name}.parquet")
     return str(top)
 
@@ -55,6 +60,11 @@ def test_odd_tables(spark, odd_dir, name):
     assert len(set(df.columns)) == len(df.columns)
     if name == "op9_source_mixing":
         assert len(rows) >= len(ODD_TEXTS)
+    elif name == "op11_conversation_repair":
+        assert sorted(r.conv_id or 0 for r in rows) == [0, 1, 2, 3]
+    elif name == "op12_ranked_search":
+        # seven rows hold term1, term2 or b, one holds word3
+        assert sorted((r.item_id or 0, r["rank"]) for r in rows) == [(0, 1), *((1, k) for k in range(1, 8))]
     else:
         assert len(rows) == (6 if name.startswith(("op1_", "op3_")) else len(ODD_TEXTS))
 
