@@ -16,6 +16,8 @@ from courtside.schemas import (
 
 ACES_PER_GAME = 4.0
 FAULTS_PER_GAME = 3.5
+#: form of a player without earlier matches, in training and in prediction
+FORM_DEFAULTS = {"Forme0": 0.5, "Forme1": 0.5}
 
 
 def _q(name: str) -> Column:

@@ -79,6 +79,11 @@ def latest_offers(offers: DataFrame, order: Sequence[str] = ("landed", "eventId"
     return last_row(offers, ["key"], F.struct(*order), cols)
 
 
+def polled(landed: Column) -> Column:
+    """When the documents of a folder were polled, from the 14 digits in its name; NULL if it has none."""
+    return F.try_to_timestamp(F.regexp_extract(landed, r"poll-([0-9]{14})[^/]*$", 1), F.lit("yyyyMMddHHmmss"))
+
+
 def flatten_feed(
     groups: DataFrame, events: DataFrame, offers: DataFrame, *, compat: bool = False,
 ) -> tuple[DataFrame, DataFrame]:

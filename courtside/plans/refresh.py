@@ -49,7 +49,7 @@ def with_form(matches: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
         F.max(F.when(F.col("slot") == s, F.col(source))).alias(f"{name}{s}")
         for s in (0, 1) for name, source in (("Forme", "forme"), ("WinMean", "win_mean"))])
     joined = matches.join(sides, "match_id", "left")
-    return dataset.impute(joined, {"Forme0": 0.5, "Forme1": 0.5})
+    return dataset.impute(joined, dataset.FORM_DEFAULTS)
 
 
 def feature_rows(

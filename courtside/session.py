@@ -41,11 +41,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path of the JVM and its file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop, system = hadoop_path(spark, path)
+    return system.exists(hadoop)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used. It is removed when the driver ends."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    hadoop, system = hadoop_path(spark, path)
+    system.deleteOnExit(hadoop)
     return path
 
 

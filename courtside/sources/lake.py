@@ -50,6 +50,14 @@ def read_tournaments(spark: SparkSession, path: str, year: int | None = None) ->
     return read_lake(spark, path, schemas.MATCH_COLUMNS, TOURNAMENT_LAYOUT, year=year)
 
 
+def read_entities(spark: SparkSession, path: str, columns: list[str], layout: tuple[str, ...]) -> DataFrame:
+    """Entities written below one directory per level. The levels are partitions: a filter on them decides which directories are
+    read. Their values are text, as in their names."""
+    levels = T.StructType([T.StructField(f"_{name}", T.StringType()) for name in layout])
+    schema = T.StructType([*schemas.text_schema(columns).fields, *levels.fields])
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_table_csv(
     spark: SparkSession, path: str, columns: list[str], *, index: bool = False, complete_only: bool = False,
 ) -> DataFrame:
@@ -78,6 +86,13 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType, *, per_line:
     return spark.read.schema(schema).json(path, multiLine=not per_line).select(*schema.fieldNames(), folder.alias("landed"))
 
 
+def stream_feed(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int) -> DataFrame:
+    """Landed feed documents, one per line, as a stream that takes so many files at a time, oldest first; columns as ``read_feed``."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
+    return stream.select(*schema.fieldNames(), folder.alias("landed"))
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages to extract from: url and html."""
     return spark.read.parquet(path).select("url", "html")

@@ -452,7 +452,7 @@ def ml_2(spark, sf_dir):
     return dataset.split(a.matches(spark, sf_dir), "match_id").select("match_id", "part")
 
 
-@query("ml_9", a.with_sql(
+@query("ml_9_lookups", a.with_sql(
     """SELECT u.match_id, u.player0, u.player1, o.ranking AS ranking0, p.ranking AS ranking1,
               o.seq AS seq0, p.seq AS seq1, x.label AS last_label
        FROM matches u
@@ -463,7 +463,7 @@ def ml_2(spark, sf_dir):
     a.SQL_MATCHES, a.SQL_STATS, """
 second AS (SELECT player, surface, seq, ranking FROM (
   SELECT *, row_number() OVER (PARTITION BY player, surface ORDER BY seq DESC) AS rn FROM stats) WHERE rn = 2)"""))
-def ml_9(spark, sf_dir):
+def ml_9_lookups(spark, sf_dir):
     """Lookups of a prediction row: last but one statistics of both sides and the last meeting."""
     m = a.matches(spark, sf_dir)
     stats = a.stats(spark, sf_dir)

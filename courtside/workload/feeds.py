@@ -9,7 +9,7 @@ from courtside.functions import arrays, text
 from courtside.operators import decide, enrich, feed, html
 from courtside.operators.dataset import fit_minmax
 from courtside.operators.skew import last_row
-from courtside.session import scratch_path
+from courtside.session import materialize, scratch_path
 from courtside.sources import lake, sinks
 from courtside.streaming import feed_stream
 from courtside.workload import analogue as a
@@ -168,9 +168,9 @@ def join_9(spark, sf_dir):
     return _offers(spark, sf_dir).join(_listed(spark, sf_dir), "eventId", "left_semi").select("eventId")
 
 
-@query("flt_12", a.with_sql(
+@query("flt_12_feed", a.with_sql(
     """SELECT "eventId", 'odds' AS reason FROM feed_offers JOIN feed_events USING ("eventId") WHERE odds0 IS NULL""", *_FEED))
-def flt_12(spark, sf_dir):
+def flt_12_feed(spark, sf_dir):
     """Offers that do not parse, with the reason."""
     _, rejects = feed.flatten_feed(
         _parsed(group_documents(spark, sf_dir), schemas.FEED_GROUPS),
@@ -220,8 +220,8 @@ def win_7(spark, sf_dir):
         ["event_id", "ts", "k", "value"])
 
 
-@query("strm_1", _PROPS_SQL)
-def strm_1(spark, sf_dir):
+@query("strm_1_events", _PROPS_SQL)
+def strm_1_events(spark, sf_dir):
     """The same from a file stream, upserted batch by batch."""
     batch = a.table(spark, sf_dir, "events")
     stream = spark.readStream.schema(batch.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -230,6 +230,41 @@ def strm_1(spark, sf_dir):
         ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
 
 
+FILES_PER_POLL = 4
+
+
+def land_polls(spark, sf_dir, landing):
+    """Four polls of the odds feed, each as many files: most events, a third of them with other odds, the same poll again in another
+    folder, and one that comes days too late with events that no other poll has."""
+    offers = offer_documents(spark, sf_dir)
+    event = F.get_json_object("json", "$.events[0].id").cast("long")
+    changed = F.replace("json", F.lit('"5/4"'), F.lit('"2/1"')).alias("json")
+    polls = [
+        ("poll-20200105120000", offers.filter(event % 7 != 0).select(changed)),
+        ("poll-20200105130000", offers.filter((event % 7 != 0) & (event % 3 == 0))),
+        ("poll-20200105130000-again", offers.filter((event % 7 != 0) & (event % 3 == 0))),
+        ("poll-20200101120000", offers.filter(event % 7 == 0))]
+    for name, documents in polls:
+        documents.repartition(FILES_PER_POLL).write.text(f"{landing}/{name}")
+
+
+@query("strm_1", a.with_sql(
+    f"""SELECT key, tournement, start, joueur0, joueur1, odds0 AS "oddJoueur0", poll_odds AS "oddJoueur1", polled FROM (
+         SELECT *, row_number() OVER (PARTITION BY key ORDER BY polled DESC, "eventId" DESC) AS rn
+         FROM (SELECT *, '2020-01-05 12:00:00' AS polled, 3.0 AS poll_odds FROM feed_offers
+               UNION ALL SELECT *, '2020-01-05 13:00:00', odds1 FROM feed_offers WHERE "eventId" % 3 = 0)
+         JOIN feed_events USING ("eventId") WHERE odds0 IS NOT NULL AND "eventId" % 7 <> 0) WHERE rn = 1""", *_FEED))
+def strm_1(spark, sf_dir):
+    """Latest offer per match from streamed polls of the feed, one poll a batch: a repeated poll and a late one change nothing."""
+    landing, target = scratch_path(spark, "polls"), scratch_path(spark, "offers")
+    land_polls(spark, sf_dir, landing)
+    listed = materialize(_listed(spark, sf_dir), "listed")
+    feed_stream.upsert_offers(
+        spark, landing, listed, target, scratch_path(spark, "offers-state"), files_per_trigger=FILES_PER_POLL).awaitTermination()
+    cols = ["key", "tournement", "start", "joueur0", "joueur1", "oddJoueur0", "oddJoueur1"]
+    return feed_stream.current_offers(spark, target).select(*cols, F.col("polled").cast("string").alias("polled"))
+
+
 # --- pages -------------------------------------------------------------------------------------------------------------------
 
 _LINKS_SQL = """
@@ -293,10 +328,10 @@ def htm_3_given(spark, sf_dir):
     return page.select("page_id", share.alias("share")).filter("share IS NOT NULL")
 
 
-@query("htm_4_given", "WITH " + _LINKS_SQL + " SELECT page_id, position, link, label FROM links WHERE position < 4")
+@query("htm_4_given", "WITH " + _LINKS_SQL + " SELECT page_id, position, link, label FROM links")
 def htm_4_given(spark, sf_dir):
-    """Rows of parallel lists down to a rank."""
-    return _links(spark, sf_dir).filter("position < 4").select("page_id", "position", "link", "label")
+    """Rows of parallel lists."""
+    return _links(spark, sf_dir).select("page_id", "position", "link", "label")
 
 
 @query("htm_5_given", """
@@ -492,24 +527,45 @@ def snk_2(spark, sf_dir):
     return _round_trip(spark, m.select("match_id", "ranking0", "ranking1", "points0", "points1"), "with-stats")
 
 
-@query("snk_3", a.with_sql(
-    """SELECT match_id, year, "winnerRate", surface FROM matches""", *M))
-def snk_3(spark, sf_dir):
-    """Feature rows, one directory per year."""
-    m = a.matches(spark, sf_dir).select("match_id", "year", "winnerRate", "surface")
-    return _round_trip(spark, m, "features", partition_by=["year"])
+# the levels of landed files, from their path
+_LEVELS_SQL = """split_part(seq, '/', 2) AS _year, split_part(seq, '/', 3) AS _week, split_part(seq, '/', 4) AS _surface"""
+
+
+def _land_entities(spark, sf_dir):
+    """All statistics below year / week / surface, many rows a file."""
+    rows = a.stats_raw(spark, sf_dir)
+    levels = [F.split_part("seq", F.lit("/"), F.lit(k)).alias(f"_{name}") for k, name in enumerate(lake.PLAYER_LAYOUT, 2)]
+    path = scratch_path(spark, "entities")
+    sinks.write_entities(rows.select(*schemas.STAT_COLUMNS, *levels), path, [f"_{name}" for name in lake.PLAYER_LAYOUT])
+    return path
 
 
-@query("snk_4", a.with_sql(
-    "SELECT player, CAST(year AS INTEGER) AS year, split_part(url, '=', 3) AS surface, aces FROM stats_raw",
-    a.SQL_STATS_RAW))
+@query("snk_4", a.with_sql(f"SELECT {_STATS_COLUMNS_SQL}, {_LEVELS_SQL} FROM stats_raw", a.SQL_STATS_RAW))
 def snk_4(spark, sf_dir):
-    """Statistics by year and surface directory, many rows per file."""
-    s = a.stats_raw(spark, sf_dir).select(
-        "player", F.col("year").cast("int").alias("year"), text.url_surface(F.col("url")).alias("surface"), "aces")
+    """Statistics by year, week and surface directory, all columns, written and read back."""
+    return lake.read_entities(spark, _land_entities(spark, sf_dir), schemas.STAT_COLUMNS, lake.PLAYER_LAYOUT)
+
+
+@query("snk_4_week", a.with_sql(
+    f"""SELECT {_STATS_COLUMNS_SQL}, {_LEVELS_SQL} FROM stats_raw
+        WHERE split_part(seq, '/', 2) = '1997' AND split_part(seq, '/', 3) = '1-4'""", a.SQL_STATS_RAW))
+def snk_4_week(spark, sf_dir):
+    """One week of them; the directories of other weeks are not listed as input."""
+    return lake.read_entities(spark, _land_entities(spark, sf_dir), schemas.STAT_COLUMNS, lake.PLAYER_LAYOUT).filter(
+        (F.col("_year") == "1997") & (F.col("_week") == "1-4"))
+
+
+@query("snk_4_tournaments", a.with_sql(
+    f"""SELECT {_MATCH_COLUMNS_SQL}, split_part(date, '.', 1) AS _year, coalesce("typeTournament", '250') AS _type,
+               "surfaceInout" AS "_surfaceInout", name AS _tournament FROM matches_raw""", a.SQL_MATCHES_RAW))
+def snk_4_tournaments(spark, sf_dir):
+    """Matches by year, type, surface and tournament directory, all columns, written and read back."""
+    levels = [F.substring("date", 1, 4), F.coalesce("typeTournament", F.lit("250")), F.col("surfaceInout"), F.col("name")]
+    names = [f"_{name}" for name in lake.TOURNAMENT_LAYOUT]
     path = scratch_path(spark, "entities")
-    sinks.write_entities(s, path, ["year", "surface"])
-    return spark.read.parquet(path).select("player", F.col("year").cast("int").alias("year"), "surface", "aces")
+    rows = a.matches_raw(spark, sf_dir).select(*schemas.MATCH_COLUMNS, *[c.alias(n) for c, n in zip(levels, names)])
+    sinks.write_entities(rows, path, names)
+    return lake.read_entities(spark, path, schemas.MATCH_COLUMNS, lake.TOURNAMENT_LAYOUT)
 
 
 _SCALED = [*schemas.COUNT_COLUMNS, *schemas.PERCENT_COLUMNS, *schemas.THOUSANDS_COLUMNS, "height", "ranking", "tournCell", "nextBest"]
@@ -552,17 +608,23 @@ def snk_7(spark, sf_dir):
            UNION ALL SELECT complete_id, 1 - p1, 2 FROM predicted WHERE surface = 'Hard'))
        WHERE rn = 1""", *M, _PREDICTED_SQL))
 def snk_8(spark, sf_dir):
-    """Two batches upserted by key; the second one is applied twice."""
+    """Two batches upserted by key, the second one applied twice, then compacted: rows that a reader who came before the compaction, the
+    same one after it, and a new one agree on."""
     path = scratch_path(spark, "upserts")
     rows = _prediction_rows(spark, sf_dir)
     first = decide.decide(rows).withColumn("from", F.lit(1))
     again = decide.decide(rows.filter("surface = 'Hard'").withColumn("prediction", 1 - F.col("prediction")))
     order = [F.col("from"), F.col("probability_score_player_1")]
-    cols = ["complete_id", "probability_score_player_1", "from"]
-    sinks.write_version(first.select(*cols), path, 1)
+    key, cols = ["complete_id"], ["complete_id", "probability_score_player_1", "from"]
+    sinks.write_version(first.select(*cols), path, 1, key, order)
     for _ in range(2):
-        sinks.write_version(again.withColumn("from", F.lit(2)).select(*cols), path, 2)
-    return sinks.read_current(spark, path, ["complete_id"], order)
+        sinks.write_version(again.withColumn("from", F.lit(2)).select(*cols), path, 2, key, order)
+    held = sinks.live(spark, path)
+    before = materialize(sinks.read_current(spark, path, key, order), "before")
+    sinks.compact_versions(spark, path, key, order)
+    during = sinks.read_current(spark, path, key, order, held)
+    after = sinks.read_current(spark, path, key, order)
+    return before.select(*cols).intersectAll(during.select(*cols)).intersectAll(after.select(*cols))
 
 
 @query("snk_9", a.with_sql(

@@ -1,14 +1,20 @@
-"""Model queries. Fitted models have no SQL counterpart; what surrounds them does."""
+"""Model queries.
+
+A fitted model has no SQL counterpart, but its scores have a second way: the model as a table of coefficients or nodes, read by
+joins and sums. The queries return every scored key and whether both ways agree, to 9 decimals; SQL says which keys these are.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from courtside.operators import dataset, model
+from courtside.operators import dataset, model, model_table
+from courtside.plans.training import INPUTS as ALL_INPUTS
 from courtside.session import materialize, scratch_path
+from courtside.sources import sinks
 from courtside.workload import analogue as a
-from courtside.workload.features import attached_sql
+from courtside.workload.features import FEATURE_CTES, FEATURE_SQL, attached_sql, feature_rows
 from courtside.workload.registry import query
 
 SIDE = ["ranking", "points", "aces", "serviceGamePlayed", "firstServe", "serviceGamesWon"]
@@ -31,58 +37,92 @@ def _scored(spark, sf_dir, algorithm, **params):
     return model.score(fitted, rows.filter("part = 'test'")), fitted, rows
 
 
+# complete rows of the inputs with their part, as in the split
+_COMPLETE_SQL = f"""
+complete AS (
+  SELECT match_id, player0, player1, CAST(label AS DOUBLE) AS label,
+         CAST('0x' || substr(md5(match_id), 1, 8) AS BIGINT) % 100 < 10 AS test
+  FROM attached WHERE {" AND ".join(f'"{c}" IS NOT NULL' for c in INPUTS)})"""
+_COMPLETE = (*attached_sql(*SIDE), _COMPLETE_SQL)
+TOLERANCE = 1e-9
+
+
+def _agreeing(scored, by_table, *cols):
+    """Scored rows and whether the score by the model's table is the same."""
+    other = by_table.select("match_id", F.col("prediction").alias("by_table"))
+    return scored.join(other, "match_id").select(*cols, (F.abs(F.col("prediction") - F.col("by_table")) < TOLERANCE).alias("agrees"))
+
+
+@query("snk_3", a.with_sql(f"SELECT f.*, m.year FROM ({FEATURE_SQL}) f JOIN matches m USING (match_id)", *FEATURE_CTES))
+def snk_3(spark, sf_dir):
+    """All feature columns of every match, one directory per year, written and read back."""
+    path = scratch_path(spark, "features")
+    sinks.write_table(feature_rows(spark, sf_dir, ("match_id", "year")), path, partition_by=["year"])
+    return spark.read.parquet(path)
+
+
 @query("ml_3", a.with_sql(
-    """SELECT match_id, CAST(ranking0 AS DOUBLE) AS v0, CAST(ranking1 AS DOUBLE) AS v1, CAST(2 AS INTEGER) AS n
-       FROM attached WHERE ranking0 IS NOT NULL AND ranking1 IS NOT NULL""", *attached_sql("ranking")))
+    "SELECT match_id, CAST(" + str(len(ALL_INPUTS)) + " AS INTEGER) AS n, "
+    + ", ".join(f'"{c}" AS "{model.safe_name(c)}"' for c in ALL_INPUTS) + f" FROM ({FEATURE_SQL}) WHERE "
+    + " AND ".join(f'"{c}" IS NOT NULL' for c in ALL_INPUTS), *FEATURE_CTES))
 def ml_3(spark, sf_dir):
-    """Numeric inputs as one vector, the label left out."""
-    m = a.attached(spark, sf_dir, ["ranking"]).select("match_id", "label", "ranking0", "ranking1")
-    inputs = dataset.numeric_columns(m)
-    assembled = model.assembler(inputs).transform(m).select("match_id", vector_to_array("features").alias("v"))
+    """All inputs of a match as one vector, the label left out; matches with a missing input have none."""
+    rows = model.safe_columns(feature_rows(spark, sf_dir))
+    assembled = model.assembler(ALL_INPUTS).transform(rows).select("match_id", vector_to_array("features").alias("v"))
     return assembled.select(
-        "match_id", F.get("v", F.lit(0)).alias("v0"), F.get("v", F.lit(1)).alias("v1"), F.size("v").alias("n"))
+        "match_id", F.size("v").alias("n"), *[F.get("v", F.lit(k)).alias(model.safe_name(c)) for k, c in enumerate(ALL_INPUTS)])
 
 
-@query("ml_4")
+@query("ml_4", a.with_sql("SELECT match_id, label, true AS agrees FROM complete WHERE test", *_COMPLETE))
 def ml_4(spark, sf_dir):
-    """Probabilities of the test part from a logistic model."""
-    return _scored(spark, sf_dir, "logistic", maxIter=20)[0].select("match_id", "label", "prediction")
+    """The test part scored by a logistic model and by its table of coefficients."""
+    scored, fitted, rows = _scored(spark, sf_dir, "logistic", maxIter=20)
+    table = model_table.linear_table(spark, fitted)
+    return _agreeing(scored, model_table.linear_scores(rows.filter("part = 'test'"), "match_id", INPUTS, table), "match_id", "label")
 
 
-@query("ml_5")
+@query("ml_5", a.with_sql("SELECT match_id, label, true AS agrees FROM complete WHERE test", *_COMPLETE))
 def ml_5(spark, sf_dir):
-    """Probabilities of the test part from boosted trees that stop early on the validation part."""
-    return _scored(spark, sf_dir, "boosted", maxIter=10, maxDepth=3)[0].select("match_id", "label", "prediction")
+    """The test part scored by boosted trees that stopped early on the validation part, and by their table of nodes."""
+    scored, fitted, rows = _scored(spark, sf_dir, "boosted", maxIter=10, maxDepth=3)
+    table = model_table.tree_table(spark, fitted)
+    return _agreeing(scored, model_table.tree_scores(rows.filter("part = 'test'"), "match_id", INPUTS, table), "match_id", "label")
 
 
-@query("ml_6")
+@query("ml_6", a.with_sql("SELECT count(*)::BIGINT AS rows, true AS agrees FROM complete WHERE test", *_COMPLETE))
 def ml_6(spark, sf_dir):
-    """Accuracy of a multilayer perceptron on the test part."""
-    return model.accuracy_table(_scored(spark, sf_dir, "perceptron", maxIter=20)[0])
+    """Accuracy of a multilayer perceptron on the test part, by aggregation and by the evaluator."""
+    scored = materialize(_scored(spark, sf_dir, "perceptron", maxIter=20)[0], "scored")
+    return model.accuracy_table(scored).select("rows", (F.abs(F.col("accuracy") - model.accuracy(scored)) < TOLERANCE).alias("agrees"))
 
 
-@query("ml_7")
+@query("ml_7", a.with_sql("SELECT match_id, player0, player1, true AS agrees FROM complete", *_COMPLETE))
 def ml_7(spark, sf_dir):
-    """Scores of all rows with their keys."""
+    """All rows scored, with their keys."""
     _, fitted, rows = _scored(spark, sf_dir, "logistic", maxIter=10)
-    return model.score(fitted, rows).select("match_id", "player0", "player1", "prediction")
+    table = model_table.linear_table(spark, fitted)
+    return _agreeing(model.score(fitted, rows), model_table.linear_scores(rows, "match_id", INPUTS, table), "match_id", "player0", "player1")
 
 
-@query("join_10")
+@query("join_10", a.with_sql("SELECT match_id, player0, player1, true AS agrees FROM complete WHERE test", *_COMPLETE))
 def join_10(spark, sf_dir):
-    """Predictions next to the names of their match: the names travel through the model."""
-    _, fitted, rows = _scored(spark, sf_dir, "logistic", maxIter=10)
-    return model.score(fitted, rows.select("player0", "player1", "label", *INPUTS)).select(
-        "player0", "player1", F.round("prediction", 6).alias("prediction"))
+    """Predictions next to the names of their match: the names travel through the model, here a boosted one."""
+    scored, fitted, rows = _scored(spark, sf_dir, "boosted", maxIter=5, maxDepth=4)
+    table = model_table.tree_table(spark, fitted)
+    return _agreeing(scored, model_table.tree_scores(rows, "match_id", INPUTS, table), "match_id", "player0", "player1")
 
 
-@query("snk_6")
+@query("snk_6", a.with_sql("SELECT match_id, true AS agrees, true AS table_agrees FROM complete WHERE test", *_COMPLETE))
 def snk_6(spark, sf_dir):
-    """Scores of a model that was written and read back."""
-    _, fitted, rows = _scored(spark, sf_dir, "logistic", maxIter=10)
-    path = scratch_path(spark, "model")
+    """Scores of a model that was written and read back, as a pipeline and as a table of nodes."""
+    scored, fitted, rows = _scored(spark, sf_dir, "boosted", maxIter=5, maxDepth=3)
+    path, nodes = scratch_path(spark, "model"), scratch_path(spark, "nodes")
     model.save(fitted, path)
-    return model.score(model.load(path), rows.filter("part = 'test'")).select("match_id", "prediction")
+    sinks.write_table(model_table.tree_table(spark, fitted), nodes)
+    test = rows.filter("part = 'test'")
+    again = _agreeing(scored, model.score(model.load(path), test), "match_id")
+    walked = _agreeing(scored, model_table.tree_scores(test, "match_id", INPUTS, spark.read.parquet(nodes)), "match_id")
+    return again.join(walked.withColumnRenamed("agrees", "table_agrees"), "match_id")
 
 
 @query("agg_11", a.with_sql(
