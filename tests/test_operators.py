@@ -363,7 +363,8 @@ def test_versions_replace_themselves(spark):
     sinks.write_version(batch, path, 1)
     for _ in range(2):
         sinks.write_version(spark.createDataFrame([("b", 2)], "k string, v int"), path, 2)
-    assert spark.read.parquet(path).count() == 3
+    # the folder of the replaced attempt stays for readers that hold an older manifest; it is not live
+    assert sinks.read_live(spark, path).count() == 3
     assert rows(sinks.read_current(spark, path, ["k"]), "k") == [("a", 1), ("b", 2)]
     sinks.compact(spark, path, path + "-compact", ["k"])
     assert rows(spark.read.parquet(path + "-compact").select("k", "v"), "k") == [("a", 1), ("b", 2)]

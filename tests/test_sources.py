@@ -3,6 +3,7 @@
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from courtside import schemas
@@ -10,6 +11,7 @@ from courtside.operators import feed, html
 from courtside.session import scratch_path
 from courtside.sources import lake, sinks
 from courtside.streaming import feed_stream
+from courtside.workload import feeds
 
 HOST = "https://example.test"
 
@@ -220,3 +222,115 @@ def test_stream_without_repeats(spark):
     stream.writeStream.format("parquet").option("path", out).option(
         "checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+# --- versions --------------------------------------------------------------------------------------------------------------
+
+
+def test_compaction_and_readers(spark):
+    path = scratch_path(spark, "versions")
+    frame = lambda *rows: spark.createDataFrame(rows, "k string, v int")
+    state = lambda at=None: {(r.k, r.v) for r in sinks.read_current(spark, path, ["k"], at=at).collect()}
+    with pytest.raises(ValueError):
+        sinks.read_current(spark, path, ["k"])
+    for version, rows in enumerate([[("a", 1), ("b", 1)], [("b", 2)], [("c", 3)], [("a", 4)]]):
+        sinks.write_version(frame(*rows), path, version)
+    sinks.write_version(frame(("c", 5)), path, 2)
+    want = {("a", 4), ("b", 2), ("c", 5)}
+    held = sinks.live(spark, path)
+    assert state() == want and len(held.folders) == 4
+    assert sinks.compact_versions(spark, path, ["k"])
+    now = sinks.live(spark, path)
+    # one folder is read now; a reader with the older manifest still has its own
+    assert [v for v, _ in now.folders] == [sinks.COMPACTED] and state() == state(held) == want
+    assert all(now.folders[0][1] in f for f in sinks.read_live(spark, path).inputFiles())
+    # versions older than the rows that were compacted do not win when they come again
+    sinks.write_version(frame(("b", 1), ("a", 1)), path, 0)
+    assert state() == want
+    sinks.write_version(frame(("b", 6)), path, 5)
+    assert state() == {("a", 4), ("b", 6), ("c", 5)} and state(held) == want
+    gone = sinks.vacuum(spark, path)
+    assert {f for _, f in held.folders} <= set(gone) and state() == {("a", 4), ("b", 6), ("c", 5)}
+
+
+def test_two_writers_at_once(spark, monkeypatch):
+    """A switch that comes second is made again on top of the first one; a compaction of a folder replaced meanwhile is given up."""
+    path = scratch_path(spark, "versions")
+    frame = lambda k: spark.createDataFrame([(k, 1)], "k string, v int")
+    sinks.write_version(frame("a"), path, 0)
+    original, others = sinks._switch, [("b", 1)]
+
+    def interrupted(spark, path, now, folders):
+        if others:
+            key, version = others.pop()
+            sinks.write_version(frame(key), path, version)
+        return original(spark, path, now, folders)
+
+    monkeypatch.setattr(sinks, "_switch", interrupted)
+    sinks.write_version(frame("c"), path, 2)
+    keys = lambda: sorted(r.k for r in sinks.read_current(spark, path, ["k"]).collect())
+    assert keys() == ["a", "b", "c"] and [v for v, _ in sinks.live(spark, path).folders] == [0, 1, 2]
+    others.append(("d", 7))
+    assert sinks.compact_versions(spark, path, ["k"]) and keys() == ["a", "b", "c", "d"]
+    assert [v for v, _ in sinks.live(spark, path).folders] == [sinks.COMPACTED, 7]
+    others.append(("e", 7))
+    assert not sinks.compact_versions(spark, path, ["k"]) and keys() == ["a", "b", "c", "e"]
+
+
+def test_layouts_prune_directories(spark, sf_dir):
+    path = feeds._land_entities(spark, sf_dir)
+    rows = lake.read_entities(spark, path, schemas.STAT_COLUMNS, lake.PLAYER_LAYOUT)
+    week = rows.filter((F.col("_year") == "1997") & (F.col("_week") == "1-4"))
+    assert 0 < week.count() < rows.count()
+    plan = week._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_year" in plan and "DataFilters: []" in plan
+    # many rows a file, and the directories of other weeks are not read
+    read = week.select(F.input_file_name().alias("f")).distinct().collect()
+    assert read and all("/_year=1997/_week=1-4/" in r.f for r in read) and len(rows.inputFiles()) < rows.count()
+
+
+# --- streamed polls --------------------------------------------------------------------------------------------------------
+
+
+def test_polls_as_a_stream(spark, sf_dir):
+    """One poll a batch; stopped and started again after two of them; the state equals the batch query over the polls that count."""
+    landing, target, checkpoint = (scratch_path(spark, n) for n in ("polls", "offers", "offers-state"))
+    staged = scratch_path(spark, "staged")
+    feeds.land_polls(spark, sf_dir, staged)
+    listed = feeds._listed(spark, sf_dir).cache()
+
+    def land(*names):
+        for name in names:
+            spark.read.text(f"{staged}/{name}").repartition(2).write.text(f"{landing}/{name}")
+
+    def run():
+        query = feed_stream.upsert_offers(spark, landing, listed, target, checkpoint, files_per_trigger=2)
+        query.awaitTermination()
+        return query
+
+    land("poll-20200105120000", "poll-20200105130000")
+    first = run()
+    land("poll-20200105130000-again", "poll-20200101120000")
+    second = run()
+    batches = [p for q in (first, second) for p in q.recentProgress if p["numInputRows"]]
+    assert len(batches) >= 4
+    # the repeated poll passes nothing on, the late one is dropped by the watermark
+    state = [s for p in second.recentProgress for s in p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in state) > 0
+    versions = sinks.read_live(spark, target).groupBy(sinks.VERSION).count().collect()
+    assert sum(r["count"] > 0 for r in versions) == 2
+
+    polls = spark.read.schema(schemas.FEED_OFFERS).json([f"{staged}/poll-20200105120000", f"{staged}/poll-20200105130000"])
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    named = feed.with_sides(feed.feed_offers(polls.select("events", "betOffers", folder.alias("landed"))).join(listed, "eventId"))
+    want = feed.latest_offers(feed.split_rejects(named, feed.offer_checks())[0])
+    cols = ["key", "tournement", "oddJoueur0", "oddJoueur1"]
+    got = feed_stream.current_offers(spark, target).select(*cols)
+    assert got.count() == want.count() > 0 and got.exceptAll(want.select(*cols)).count() == 0
+
+    # a poll much later moves the watermark beyond all others: what the state remembered of them is released
+    remembered = [s["numRowsTotal"] for s in state][-1]
+    for name in ("poll-20200109000000", "poll-20200110000000"):
+        spark.read.text(f"{staged}/poll-20200105130000").filter("rand(1) < 0.3").repartition(1).write.text(f"{landing}/{name}")
+        later = run()
+    assert later.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] < remembered / 2
