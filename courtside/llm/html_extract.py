@@ -7,10 +7,11 @@ to the text too. All nodes are scored; ``article`` and ``main`` weigh double. If
 in a main element) whose weighted density reaches that of the subtree, the outermost such element is taken whole.
 
 What is never main text (menus, headers, footers, forms, scripts, styles, hidden parts) is left out of the tree by element name
-and role. Class or id words of sidebars, notices, adverts, sharing and reader comments halve the density of their subtree, and
-leave it out if it holds neither an article nor a main element and either less than half of the page's text outside links or,
-beside an article, a halved density sum below the article's doubled one; inside an article only if its halved density does not
-reach the article's. They mean nothing in code (``pre``, ``code``). NULL and empty pages have an empty text. A headline inside
+and role. Blocks whose class or id names reader comments rank below all others: one that holds neither an article nor a main
+element is left out, however much readers wrote, if there is any text outside links elsewhere. Class or id words of sidebars,
+notices, adverts and sharing halve the density of their subtree, and leave it out if it holds neither an article nor a main
+element and its halved density sum is below the best one of the page without such blocks; inside an article if it holds fewer
+characters outside links per tag than the article. They mean nothing in code (``pre``, ``code``). NULL and empty pages have an empty text. A headline inside
 an article's header is kept. White space inside a block becomes one space, blocks are joined by one line feed, character
 references are decoded. Trees of any depth and pages of any length are read in linear time, without recursion.
 """
@@ -52,8 +53,10 @@ LEFT_OUT_WORDS = frozenset(
     "notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead topbar "
     "footer sidebar side widget related recommended share sharing social newsletter subscribe signup login search comment comments "
     "respond disqus replies".split())
-#: percent of the page's text outside links that keeps a subtree with such words, and what they do to its density
-LEAST_SHARE = 50
+#: class or id words of blocks of reader comments, and words beside them that say something else about a page
+COMMENT_WORDS = frozenset("comment comments commentlist respond disqus replies".split())
+NOT_COMMENTS = frozenset("open closed has no with without enabled disabled count link links on off status allow".split())
+#: what such words do to the density of a subtree
 PENALTY = 0.5
 #: elements that hold a page or its text, whatever their class
 HOLDERS = frozenset("html body article main".split())
@@ -87,12 +90,13 @@ class _TagEnds:
 
 
 class _Tree:
-    """Nodes in page order: parent, name, whether they are left out, whether they have words of what rarely is main text, the
-    article that they stand in (-1: none), whether they stand in its header or in code; text pieces with the node they stand in."""
+    """Nodes in page order: parent, name, whether they are left out, whether they have words of what rarely is main text or of
+    reader comments, the article that they stand in (-1: none), whether they stand in its header or in code; text pieces with the
+    node they stand in."""
 
     def __init__(self):
         self.parent, self.name, self.out, self.doubtful, self.article = [-1], ["#page"], [False], [False], [-1]
-        self.header, self.code, self.pieces = [False], [False], []
+        self.comments, self.header, self.code, self.pieces = [False], [False], [False], []
 
     def add(self, parent: int, name: str, attributes: str) -> int:
         out, article, header = self.out[parent], self.article[parent], self.header[parent]
@@ -104,7 +108,9 @@ class _Tree:
         self.parent.append(parent)
         self.name.append(name)
         self.out.append(out)
-        self.doubtful.append(not out and not self.code[parent] and name not in HOLDERS and _doubtful(attributes))
+        words = not out and not self.code[parent] and name not in HOLDERS and bool(attributes.strip(" /"))
+        self.doubtful.append(words and _doubtful(attributes))
+        self.comments.append(words and self.doubtful[-1] and _comments(attributes))
         self.article.append(len(self.name) - 1 if name == "article" else article)
         self.header.append(header)
         self.code.append(self.code[parent] or name in CODE)
@@ -129,29 +135,61 @@ def _left_out(name: str, attributes: str) -> bool:
 
 def _doubtful(attributes: str) -> bool:
     return any(key.lower() in ("class", "id") and not LEFT_OUT_WORDS.isdisjoint(_WORD.findall("".join(values).lower()))
-               for key, *values in (_ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ()))
+               for key, *values in _ATTRIBUTE.findall(attributes))
+
+
+def _comments(attributes: str) -> bool:
+    """Whether a class or the id names a block of comments, as ``comment-list`` and unlike ``comments-open``."""
+    for key, *values in _ATTRIBUTE.findall(attributes):
+        if key.lower() in ("class", "id"):
+            for name in "".join(values).lower().split():
+                words = set(_WORD.findall(name))
+                if words & COMMENT_WORDS and not words & NOT_COMMENTS:
+                    return True
+    return False
+
+
+def _leave_out(tree: _Tree, roots: list[bool]) -> list[bool]:
+    """``out`` with everything below the roots."""
+    out = list(tree.out)
+    for i in range(1, len(out)):
+        out[i] = out[i] or roots[i] or out[tree.parent[i]]
+    return out
 
 
 def _judge_doubtful(tree: _Tree) -> None:
-    """Marks as out the subtrees with words of what rarely is main text that neither hold an article nor much of the text."""
+    """Marks as out the blocks of comments and the doubtful subtrees that hold no article and are not dense enough."""
     if not any(tree.doubtful):
         return
-    chars, tags, link_chars = _counted(tree)[:3]
     n = len(tree.name)
     holds = [False] * n
     for i in range(n - 1, 0, -1):
         if not tree.out[i] and (holds[i] or tree.name[i] in NAMED):
             holds[tree.parent[i]] = True
-    least = LEAST_SHARE * (chars[0] - link_chars[0])
+
+    given = tree.out
+    tree.out = _leave_out(tree, [c and not h for c, h in zip(tree.comments, holds)])
+    chars, _, link_chars, _ = _counted(tree)
+    if chars[0] <= link_chars[0]:
+        # nothing but comments
+        tree.out = given
+    judged = tree.out
+    tree.out = _leave_out(tree, [d and not h for d, h in zip(tree.doubtful, holds)])
+    clean = _densities(tree)[1]
+    best = max((NAMED_WEIGHT * x if tree.name[i] in NAMED else x for i, x in enumerate(clean) if not tree.out[i]), default=0.0)
+
+    tree.out = judged
+    chars, tags, link_chars, _ = _counted(tree)
     total = _densities(tree)[1]
-    rival = NAMED_WEIGHT * max((total[i] for i in range(n) if tree.name[i] == "article" and not tree.out[i]), default=0.0)
     for i in range(1, n):
         if tree.out[tree.parent[i]]:
             tree.out[i] = True
         elif tree.doubtful[i] and not tree.out[i] and not holds[i]:
             a = tree.article[i]
-            dense = a >= 0 and PENALTY * (chars[i] - link_chars[i]) * max(tags[a], 1) >= (chars[a] - link_chars[a]) * max(tags[i], 1)
-            tree.out[i] = not dense and (100 * (chars[i] - link_chars[i]) < least or PENALTY * total[i] < rival)
+            if a >= 0:
+                tree.out[i] = (chars[i] - link_chars[i]) * max(tags[a], 1) < (chars[a] - link_chars[a]) * max(tags[i], 1)
+            else:
+                tree.out[i] = PENALTY * total[i] < best
 
 
 def _parse(page: str) -> _Tree:
