@@ -4,7 +4,7 @@ Strong kinds are reported wherever they stand: ``assign`` (a keyword and its val
 ``hex`` (a long run of hex digits). Weak kinds are parts of multipart credentials: ``key`` (a run of 20 or more
 letters, digits and ``+/_-``, padding included, that looks random: see ``_random``), ``user`` (a client or user identifier) and ``host`` (an endpoint).
 A weak part is reported only if a complementary part stands within ``reach`` characters inside the same scope; a scope is a
-run of lines without an empty line between them. Complements: a key needs an access identifier, a user or a host; a user
+run of lines with no two empty lines in a row between them, so parts of one block of settings are linked across a single one. Complements: a key needs an access identifier, a user or a host; a user
 and a host need a key. A run that is an access identifier, a user or a host itself is no key; one that starts in such a part
 and goes on behind it is judged by what follows.
 
@@ -50,6 +50,8 @@ WEAK = ["key", "user", "host"]
 #: which parts confirm a weak part
 COMPLEMENTS = {"key": ["access", "user", "host"], "user": ["key"], "host": ["key"]}
 REACH = 400
+#: what ends a scope: two empty lines or more
+GAP = r"\n(?:[ \t\r]*\n){2}"
 PLACEHOLDER = "[secret]"
 
 SPAN = T.StructType([
@@ -65,7 +67,7 @@ def _finder():
     assign = re.compile(ASSIGN, re.I | re.A).finditer
     access, hexes = re.compile(ACCESS).finditer, re.compile(HEX[:-1] + "{%d,}" % LEAST["hex"]).finditer
     key, user, host = (re.compile(p, re.I | re.A).finditer for p in (WEAK_KEY, WEAK_USER, WEAK_HOST))
-    empty_line = re.compile(r"\n[ \t\r]*\n").finditer
+    gap = re.compile(GAP).finditer
 
     def found(text: str) -> tuple[list, list]:
         lower = text.lower()
@@ -84,7 +86,7 @@ def _finder():
             weak += [("key", *s) for s in keys] + parts
         if not weak:
             return [{"kind": k, "start": a, "end": b, "scope": 0} for k, a, b in strong], []
-        borders = [m.start() for m in empty_line(text)]
+        borders = [m.start() for m in gap(text)]
 
         def rows(spans):
             return [{"kind": k, "start": a, "end": b, "scope": bisect_left(borders, a)} for k, a, b in spans]
