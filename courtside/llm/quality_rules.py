@@ -7,9 +7,10 @@ Shared lines: all lines, of any length, are normalised (trimmed, white space as
 host (``source``) the distinct documents that have a line are counted, equal texts as one document and near copies together as
 about one: a document counts as one of the many that share its own part, which is the rarest lines that hold a fifth of its
 words. Where a line holds more words than all rarer lines of the document together, it is what the document is about, and its
-documents together count as one too. Lines in more than a share of the host's distinct documents, and more than a few, are
-boilerplate and are removed from every document. Ordinary short lines recur by chance, as often as the host is large, so their
-share is the larger one.
+documents together count as one too. Lines in more documents than their limit are boilerplate and are removed from every
+document. The limit is smooth in the words of the line and the size of the host: the root of the squares of a least number and
+of a share of the host's distinct documents. Ordinary short lines recur by chance, as often as the host is large, so the share is
+largest for them; it falls with the words of a line, to a half at ``line_words`` and with their fourth power beyond.
 A document that keeps less than a least share of its words, or too few words, is depleted and rejected.
 
 NULL text has no words and fails; NULL host is a host of its own. DataFrame functions only. Per document everything is
@@ -40,10 +41,9 @@ class Limits:
     most_repeated: int = 50
     #: distinct documents of a host that may share a line, however few the host has
     most_documents: int = 20
-    #: of a thousand distinct documents of a host, how many may share a short line, and a longer one
+    #: of a thousand distinct documents of a host, how many may share a line of hardly any words
     most_short: int = 50
-    most_long: int = 1
-    #: words of a short line
+    #: words of a line that half as many may share
     line_words: int = 12
     #: percent of its words that tell a document from its near copies
     own_share: int = 20
@@ -128,14 +128,19 @@ def weighed(places: DataFrame, counts: DataFrame, limits: Limits) -> DataFrame:
             .select("host", "text_key", "n_words", "h", "line_words", "w", F.when(rarer >= F.col("w"), F.least("own", "n")).otherwise(F.col("n")).alias("alike")))
 
 
+def allowed(line_words: Column, total: Column, limits: Limits = Limits()) -> Column:
+    """How many of a host's ``total`` distinct documents may share a line of so many words."""
+    share = F.lit(limits.most_short / 1000) / (1 + F.pow(line_words / F.lit(limits.line_words), F.lit(4)))
+    return F.sqrt(F.lit(float(limits.most_documents) ** 2) + F.pow(share * total, F.lit(2)))
+
+
 def shared_lines(places: DataFrame, hosts: DataFrame, limits: Limits) -> DataFrame:
     """Of weighed places, the lines that more documents of a host have than the limits, near copies counted once: host, h.
     ``hosts`` has the distinct documents of each host as ``total``."""
     # rounded: as many thirds as make a whole are one
     lines = (places.groupBy("host", "h").agg(F.round(F.sum(1 / F.col("alike")), 6).alias("documents"), F.max("line_words").alias("line_words"))
              .filter(F.col("documents") > limits.most_documents))
-    share = F.when(F.col("line_words") <= limits.line_words, limits.most_short).otherwise(limits.most_long)
-    return lines.join(hosts, "host").filter(1000 * F.col("documents") > share * F.col("total")).select("host", "h")
+    return lines.join(hosts, "host").filter(F.col("documents") > allowed(F.col("line_words"), F.col("total"), limits)).select("host", "h")
 
 
 def judged(df: DataFrame, row_id: str = "doc_id", text: str = "text", host: str = "source", limits: Limits = Limits()) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,8 @@ import struct
 import public_tokenizers
 import tiktoken
 
+from courtside.llm import license_scan, secret_scan
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LICENSE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -133,8 +135,12 @@ def shared_lines(rows: set[tuple[str, str]]) -> set[tuple[str, str]]:
         for line, w in words.items():
             n = count[host, line]
             weight[host, line] += fractions.Fraction(1, min(own, n) if up_to(n - 1) >= w else n)
-    return {(host, line) for (host, line), n in weight.items()
-            if n > 20 and 1000 * n > (50 if len(line.split(" ")) <= 12 else 1) * total[host]}
+    return {(host, line) for (host, line), n in weight.items() if n > line_limit(len(line.split(" ")), total[host])}
+
+
+def line_limit(words: int, documents: int) -> float:
+    """Documents of a host that may share a line of so many words."""
+    return math.hypot(20, 0.05 / (1 + (words / 12) ** 4) * documents)
 
 
 def quality_kept(rows: list[tuple[str, str]]) -> list[bool]:
@@ -156,6 +162,18 @@ def strong_spans(text: str) -> list[tuple]:
     return sorted(found)
 
 
+def all_spans(text: str) -> list[tuple]:
+    """Strong spans, and every weak part with a complement in reach and in its scope, by comparing all of them."""
+    strong, weak = secret_scan._finder()(text)
+    order = secret_scan.KINDS + secret_scan.WEAK
+    gaps = [m.start() for m in re.finditer(secret_scan.GAP, text)]
+    scope = lambda s: sum(g < s["start"] for g in gaps)
+    parts = [s for s in strong if s["kind"] == "access"] + weak
+    linked = [w for w in weak if any(
+        p["kind"] in secret_scan.COMPLEMENTS[w["kind"]] and abs(p["start"] - w["start"]) <= secret_scan.REACH and scope(p) == scope(w) for p in parts)]
+    return sorted(strong_spans(text) + sorted({(s["start"], order.index(s["kind"]), s["end"], s["kind"]) for s in linked}))
+
+
 def joined(spans: list[tuple]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in spans)
 
@@ -219,3 +237,22 @@ def uses(rows: list[tuple[int, str, str]], entropy: float = 0.5, repetition: flo
             if filled <= rest:
                 out[i] += 1
     return out
+
+
+SCANNER = license_scan.Scanner()
+
+
+def licenses(text: str) -> tuple[str, float]:
+    """Labels and score with every rule run on every text and all pairs of detections compared."""
+    _, line = SCANNER.words(text)
+    found = SCANNER.detections(line, text, SCANNER.rules)
+
+    def beaten(k: int) -> bool:
+        d = found[k]
+        return d.rule.priority < 100 and any(
+            e.start <= d.start and e.end >= d.end and (-e.rule.priority, e.start - e.end, j) < (-d.rule.priority, d.start - d.end, k)
+            for j, e in enumerate(found))
+
+    kept = [d for k, d in enumerate(found) if not beaten(k)]
+    labels = {d.rule.label for d in kept} | {label for phrase, label in PHRASES.items() if f" {phrase} " in line.decode()}
+    return ",".join(sorted(labels)), max([d.rule.confidence for d in kept], default=0.0)
