@@ -10,11 +10,13 @@ import html
 import math
 import re
 import struct
+import zlib
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
-from courtside.llm import license_scan, secret_scan
+from courtside.llm import license_scan, quality_model, secret_scan
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LICENSE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -256,3 +258,59 @@ def licenses(text: str) -> tuple[str, float]:
     kept = [d for k, d in enumerate(found) if not beaten(k)]
     labels = {d.rule.label for d in kept} | {label for phrase, label in PHRASES.items() if f" {phrase} " in line.decode()}
     return ",".join(sorted(labels)), max([d.rule.confidence for d in kept], default=0.0)
+
+
+def text_statistics(text: str) -> list[float]:
+    """The statistics of the quality score, counted character by character and word by word."""
+    data = text.encode("utf-8", "replace")
+    kinds = [lambda c: 65 <= c <= 90, lambda c: 97 <= c <= 122, lambda c: 48 <= c <= 57, lambda c: c in b" \t\x0b\x0c\r", lambda c: c == 10,
+             lambda c: c in b"#*$%&|<>", lambda c: c in b"!?", lambda c: c in b".,;:'\"()-", lambda c: c >= 128]
+    shares = [sum(map(kind, data)) / max(len(data), 1) for kind in kinds]
+    words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+    n, counts = len(words), collections.Counter(words)
+    return [
+        math.log(1 + len(text)), math.log(1 + n), *shares, math.log(1 + sum(len(w) for w in words) / max(n, 1)), len(counts) / max(n, 1) ** 0.8,
+        max([0, *counts.values()]) / max(n, 1), len({(a, b) for a, b in zip(words, words[1:])}) / max(n - 1, 1),
+        len(set(lines)) / max(len(lines), 1), math.log(1 + n / max(len(lines), 1)), sum(w.isalnum() for w in words) / max(n, 1)]
+
+
+def quality_scores(texts: dict[int, str], labels: list[tuple[int, int]]) -> dict[int, float]:
+    """Scores by a least-squares solution of the whole table and the max-min form of the isotonic fit."""
+    q = quality_model
+    ids = sorted(texts)
+    x = np.array([text_statistics(texts[i]) for i in ids])
+    place = {i: k for k, i in enumerate(ids)}
+    train = [(place[i], label) for i, label in labels if i in place and zlib.crc32(str(i).encode()) % 5]
+    rows, y = np.array([k for k, _ in train]), np.array([float(label) for _, label in train])
+    center, scale = x[rows].mean(axis=0), np.maximum(x[rows].std(axis=0), 1e-6)
+    z = np.clip((x - center) / scale, -8, 8)
+    rng = np.random.default_rng(q.SEED)
+    w, b = rng.standard_normal((z.shape[1], q.FEATURES)) / q.WIDTH, rng.uniform(0, 2 * np.pi, q.FEATURES)
+    inputs = np.column_stack([math.sqrt(2 / q.FEATURES) * np.cos(z @ w + b), z, np.ones(len(z))])
+    ridge = np.sqrt(q.RIDGE * len(rows)) * np.eye(inputs.shape[1])
+    ridge[-1, -1] = 0
+    weights = np.linalg.lstsq(np.vstack([inputs[rows], ridge]), np.concatenate([y, np.zeros(len(ridge))]), rcond=None)[0]
+    raw = inputs @ weights
+    steps = collections.defaultdict(list)
+    for k, label in train:
+        value = max(-1.0, min(2.0, raw[k])) * q.GRID
+        steps[math.floor(abs(value) + 0.5) * (1 if value >= 0 else -1)].append(label)
+    keys = sorted(steps)
+    n, s = [len(steps[k]) for k in keys], [sum(steps[k]) for k in keys]
+    cn, cs = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(s)])
+    level = [max(min((cs[j + 1] - cs[a]) / (cn[j + 1] - cn[a]) for j in range(i, len(keys))) for a in range(i + 1)) for i in range(len(keys))]
+    knots, levels = [], []
+    for value in sorted(set(np.round(level, 12))):
+        own = [i for i in range(len(keys)) if round(level[i], 12) == value]
+        knots.append(sum(keys[i] / q.GRID * n[i] for i in own) / sum(n[i] for i in own))
+        levels.append(level[own[0]])
+
+    def between(r: float) -> float:
+        if r <= knots[0]:
+            return levels[0]
+        for a, c, u, v in zip(knots, knots[1:], levels, levels[1:]):
+            if r <= c:
+                return u + (v - u) * (r - a) / (c - a)
+        return levels[-1]
+
+    return {i: 0.98 * between(raw[k]) + 0.02 * min(max((raw[k] + 1) / 3, 0), 1) for i, k in place.items()}

@@ -75,6 +75,15 @@ def test_quality_classifier(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
 
 
+def test_quality_scores(spark):
+    """Every score of a table by another solution of the same least squares and isotonic fit."""
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {i: t or "" for i, t in rows_of(sf_dir, "documents", "doc_id", "text")}
+    want = brute.quality_scores(texts, rows_of(sf_dir, "labels", "doc_id", "quality"))
+    got = {r.doc_id: r.score for r in queries.QUERIES["op4_quality_classifier"](spark, sf_dir).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-6
+
+
 def test_near_duplicates(spark, sf_dir, documents):
     got = by_id(queries.QUERIES["op5_minhash_dedup"](spark, sf_dir), "doc_id")
     ids = sorted(documents)
