@@ -369,6 +369,8 @@ class Rule:
         self.keywords = [k.encode() for k in keywords]
         #: what the text as it is must hold as well
         self.confirm: re.Pattern | None = None
+        #: made of a name and a form
+        self.named = False
         self.find = re.compile(f"(?<= )(?:{pattern})(?= )".encode()).finditer
 
 
@@ -387,9 +389,11 @@ def rules() -> list[Rule]:
                 rule = Rule(form.format(name=f"(?:{name})"), label, priority, confidence, [_keyword(name)])
                 if name == "mit" and form == LOOSE:
                     rule.confirm = MIT_MEANT
+                rule.named = True
                 out.append(rule)
             if label in SPEAKING:
                 out.append(Rule(name, label, EXACT, 0.6, [_keyword(name)]))
+                out[-1].named = True
     out += [Rule(*t) for t in TEXTS + SIGNATURES]
     return sorted(out, key=lambda r: -r.priority)
 
@@ -429,13 +433,23 @@ def resolve(found: list[Detection]) -> list[Detection]:
 
 class Scanner:
     def __init__(self):
-        self.by_keyword: dict[bytes, list[Rule]] = {}
+        from ahocorasick import Automaton
+
         self.rules = rules()
+        self.base = [(f" {p} ".encode(), label) for p, label in BASE_PHRASES.items()]
+        # gates and keywords are found in one pass over a text: index of each, whether it is a gate, the rules that it is a keyword of
+        self.marks: dict[str, int] = {}
+        self.gates: set[int] = set()
+        self.by_mark: dict[int, list[Rule]] = {}
+        for g in GATE:
+            self.gates.add(self.marks.setdefault(g.decode(), len(self.marks)))
         for rule in self.rules:
             for k in rule.keywords:
-                self.by_keyword.setdefault(k, []).append(rule)
-        self.base = [(f" {p} ".encode(), label) for p, label in BASE_PHRASES.items()]
-        self.gate = tuple(dict.fromkeys([*GATE, *(f" {k}".encode() for *_, keywords in SIGNATURES for k in keywords)]))
+                self.by_mark.setdefault(self.marks.setdefault(" " + k.decode(), len(self.marks)), []).append(rule)
+        self.finder = Automaton()
+        for mark, index in self.marks.items():
+            self.finder.add_word(mark, index)
+        self.finder.make_automaton()
         # names of a list, the longer first; one group each
         self.names = sorted(((n, label) for label, names in LICENSES if label not in COMMON for n in names), key=lambda x: -len(x[0]))
         any_name = "|".join(f"({n})" for n, _ in self.names)
@@ -465,13 +479,21 @@ class Scanner:
         denied = [(d.start, d.end) for d in found + more if NEGATED.search(line, max(0, d.start - 30), d.start)]
         return [d for d in found + more if d.rule.priority == 100 or not any(a <= d.start and d.end <= b for a, b in denied)]
 
+    def candidates(self, line: bytes) -> list[Rule]:
+        """The rules whose keywords are there, in order; those made of a name and a form need a gate as well."""
+        hits = {index for _, index in self.finder.iter(line.decode("latin-1"))}
+        gated = not hits.isdisjoint(self.gates)
+        present = {id(r) for i in hits for r in self.by_mark.get(i, ()) if gated or not r.named}
+        return [r for r in self.rules if id(r) in present] if present else []
+
     def words(self, text: str) -> tuple[list[bytes], bytes]:
         words = text.encode("utf-8", "replace").translate(_WORDS).split()
         return words, b" " + b" ".join(words) + b" "
 
     def scan(self, text: str) -> tuple:
         words, line = self.words(text)
-        if not any(g in line for g in self.gate):
+        candidates = self.candidates(line)
+        if not candidates:
             return len(words), 0, None, None, [], [], 0.0
         starts, base = [], set()
         for phrase, label in self.base:
@@ -480,11 +502,7 @@ class Scanner:
                 starts.append(at)
                 base.add(label)
                 at = line.find(phrase, at + 1)
-        present = set()
-        for k in self.by_keyword:
-            if b" " + k in line:
-                present.update(self.by_keyword[k])
-        kept = resolve(self.detections(line, text, [r for r in self.rules if r in present]))
+        kept = resolve(self.detections(line, text, candidates))
         labels = sorted({d.rule.label for d in kept} | base)
         first = line.count(b" ", 0, min(starts)) if starts else None
         last = line.count(b" ", 0, max(starts)) if starts else None
