@@ -601,30 +601,48 @@ def snk_7(spark, sf_dir):
     return spark.read.parquet(path).select("complete_id", "probability_score_player_1")
 
 
-@query("snk_8", a.with_sql(
+_UPSERTED_SQL = a.with_sql(
     """SELECT complete_id, p1 AS probability_score_player_1, "from" FROM (
          SELECT *, row_number() OVER (PARTITION BY complete_id ORDER BY "from" DESC, p1 DESC) AS rn FROM (
            SELECT complete_id, p1, 1 AS "from" FROM predicted
            UNION ALL SELECT complete_id, 1 - p1, 2 FROM predicted WHERE surface = 'Hard'))
-       WHERE rn = 1""", *M, _PREDICTED_SQL))
-def snk_8(spark, sf_dir):
-    """Two batches upserted by key, the second one applied twice, then compacted: rows that a reader who came before the compaction, the
-    same one after it, and a new one agree on."""
+       WHERE rn = 1""", *M, _PREDICTED_SQL)
+_UPSERT_KEY = ["complete_id"]
+_UPSERT_COLUMNS = ["complete_id", "probability_score_player_1", "from"]
+
+
+def _upsert_order():
+    return [F.col("from"), F.col("probability_score_player_1")]
+
+
+def _upserted(spark, sf_dir):
+    """The path of a table of two batches, the second one applied twice."""
     path = scratch_path(spark, "upserts")
     rows = _prediction_rows(spark, sf_dir)
     first = decide.decide(rows).withColumn("from", F.lit(1))
     again = decide.decide(rows.filter("surface = 'Hard'").withColumn("prediction", 1 - F.col("prediction")))
-    order = [F.col("from"), F.col("probability_score_player_1")]
-    key, cols = ["complete_id"], ["complete_id", "probability_score_player_1", "from"]
-    sinks.write_version(first.select(*cols), path, 1, key, order)
+    sinks.write_version(first.select(*_UPSERT_COLUMNS), path, 1)
     for _ in range(2):
-        sinks.write_version(again.withColumn("from", F.lit(2)).select(*cols), path, 2, key, order)
+        sinks.write_version(again.withColumn("from", F.lit(2)).select(*_UPSERT_COLUMNS), path, 2)
+    return path
+
+
+@query("snk_8", _UPSERTED_SQL)
+def snk_8(spark, sf_dir):
+    """Two batches upserted by key; the second one is applied twice."""
+    return sinks.read_current(spark, _upserted(spark, sf_dir), _UPSERT_KEY, _upsert_order())
+
+
+@query("snk_8_compacted", _UPSERTED_SQL)
+def snk_8_compacted(spark, sf_dir):
+    """The same table compacted: rows that a reader who came before the compaction, the same one after it, and a new one agree on."""
+    path, order = _upserted(spark, sf_dir), _upsert_order()
     held = sinks.live(spark, path)
-    before = materialize(sinks.read_current(spark, path, key, order), "before")
-    sinks.compact_versions(spark, path, key, order)
-    during = sinks.read_current(spark, path, key, order, held)
-    after = sinks.read_current(spark, path, key, order)
-    return before.select(*cols).intersectAll(during.select(*cols)).intersectAll(after.select(*cols))
+    before = materialize(sinks.read_current(spark, path, _UPSERT_KEY, order), "before")
+    sinks.compact_versions(spark, path, _UPSERT_KEY, order)
+    during = sinks.read_current(spark, path, _UPSERT_KEY, order, held)
+    after = sinks.read_current(spark, path, _UPSERT_KEY, order)
+    return before.select(*_UPSERT_COLUMNS).intersectAll(during.select(*_UPSERT_COLUMNS)).intersectAll(after.select(*_UPSERT_COLUMNS))
 
 
 @query("snk_9", a.with_sql(
