@@ -1,6 +1,7 @@
 """What must not grow faster than the input: compared names, shuffled columns, repeated work."""
 
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -38,3 +39,30 @@ def test_cells_are_not_merged_into_one_task(spark):
     assert best.count() == 400
     text = best._jdf.queryExecution().executedPlan().toString()
     assert text.count("REPARTITION_BY_NUM") >= 2
+
+
+def test_common_subsequence_of_any_lengths(spark):
+    """The bits of a long and the whole table give the same, on both sides of the limit."""
+    rnd = random.Random(9)
+    word = lambda n: "".join(rnd.choice("abcé漢😀") for _ in range(n))
+    pairs = [(word(n), word(m)) for n in (0, 1, 5, 61, 62, 63, 70) for m in (0, 2, 9, 62, 63, 75)] + [("a" * 62, "a" * 62), ("a" * 80, "a" * 62), (None, "a")]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", similarity.common_subsequence(F.col("a"), F.col("b")).alias("n"))
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+            row = new
+        return row[-1]
+
+    assert all(r.n == (None if r.a is None else common(r.a, r.b)) for r in df.collect())
+
+
+def test_ratio_of_short_names_grows_no_table(spark):
+    """A name of 60 characters takes sums of bits; a table of growing arrays for each of a few thousand names would take minutes."""
+    names = spark.range(0, 3000, 1, 2).select(F.concat(F.repeat(F.lit("abcde fghij "), 4), F.col("id").cast("string")).alias("a"))
+    started = time.perf_counter()
+    total = names.select(F.sum(similarity.indel_ratio(F.col("a"), F.reverse("a")))).first()[0]
+    assert total > 0 and time.perf_counter() - started < 30
