@@ -26,6 +26,11 @@ def number(c: Column) -> Column:
     return F.nullif(c.try_cast("double"), F.lit(float("nan")))
 
 
+def filled(c: Column) -> Column:
+    """Text, NULL when it is empty. The text is worked out once, also inside a function over a list, where ``nullif`` does it twice."""
+    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
+
+
 def integer(c: Column) -> Column:
     return c.try_cast("int")
 
@@ -62,7 +67,7 @@ def first_number(c: Column) -> Column:
 
 def part(c: Column, separator: str, index: int) -> Column:
     """Part ``index`` of a split on a literal separator, NULL when there is none or it is empty."""
-    return F.nullif(F.split_part(c, F.lit(separator), F.lit(index + 1)), F.lit(""))
+    return filled(F.split_part(c, F.lit(separator), F.lit(index + 1)))
 
 
 def url_surface(url: Column) -> Column:

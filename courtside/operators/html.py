@@ -80,12 +80,21 @@ def every(part: Column, pattern: str, group: int = 1) -> Column:
 
 def first_in(part: Column, pattern: str, group: int = 1) -> Column:
     """The first match, NULL when there is none."""
-    return F.nullif(F.regexp_extract(part, pattern, group), F.lit(""))
+    return text.filled(F.regexp_extract(part, pattern, group))
 
 
-def elements(part: Column, name: str, tag: str = r"\w+") -> Column:
+def _element(name: str, tag: str) -> str:
+    return rf'(?s)<({tag})\b[^>]*\bclass="{name}"[^>]*>(.*?)</\1>'
+
+
+def elements(part: Column, name: str, tag: str = r"\w++") -> Column:
     """Inner markup of every element with exactly this class, up to its own end tag."""
-    return every(part, rf'(?s)<({tag})\b[^>]*\bclass="{name}"[^>]*>(.*?)</\1>', 2)
+    return every(part, _element(name, tag), 2)
+
+
+def element(part: Column, name: str, tag: str = r"\w++") -> Column:
+    """Inner markup of the first of these elements, empty when there is none; the rest of the part is not searched."""
+    return F.regexp_extract(part, _element(name, tag), 2)
 
 
 def rows_of(part: Column) -> Column:
@@ -103,7 +112,7 @@ def link_in(part: Column) -> Column:
 
 def text_of(part: Column) -> Column:
     """Text of a part without its tags, NULL when nothing is left."""
-    return F.nullif(text.strip(F.regexp_replace(part, "<[^>]*>", "")), F.lit(""))
+    return text.filled(text.strip(F.regexp_replace(part, "<[^>]*>", "")))
 
 
 def _known(items: Column) -> Column:
@@ -125,14 +134,14 @@ def index_rows(pages: DataFrame, host: str) -> DataFrame:
 def tournament_links(pages: DataFrame, host: str, *, compat: bool = False) -> DataFrame:
     """Tournament page: one row per match link with name, date, badge and round."""
     page = F.col("html")
-    result = F.get(elements(page, RESULT_ROW, "tr"), F.lit(0))
+    result = element(page, RESULT_ROW, "tr")
     heads = F.transform(elements(page, ROUNDS_TABLE, "table"), lambda t: every(t, r"(?s)<thead\b[^>]*>(.*?)</thead>"))
     rounds = F.flatten(F.transform(F.flatten(heads), lambda h: F.transform(every(h, r"(?s)<th\b[^>]*>(.*?)</th>"), text_of)))
     links = _known(F.transform(elements(page, ROUND_LINK), lambda x: F.concat(F.lit(host), link_in(x))))
     rows = pages.select(
         "url", text.link_name(link_in(F.get(cells_of(result), F.lit(RESULT_NAME_CELL)))).alias("name"),
         first_in(page, _class(DATES, _TEXT)).alias("date"),
-        text.badge_points(first_in(F.get(elements(page, BADGE), F.lit(0)), r'(?s)<img\b[^>]*\bsrc="([^"]*)"')).alias("typeTournament"),
+        text.badge_points(first_in(element(page, BADGE), r'(?s)<img\b[^>]*\bsrc="([^"]*)"')).alias("typeTournament"),
         _known(rounds).alias("rounds"), arrays.keep_containing(links, "players").alias("links"))
     return rows.select("url", "name", "date", "typeTournament", "rounds", F.posexplode("links").alias("position", "link")).select(
         "url", "link", "position", "name", "date", "typeTournament", arrays.round_of(F.col("rounds"), F.col("position"), compat).alias("phase"))
@@ -147,17 +156,19 @@ def _wins(page: Column, name: str) -> Column:
 def versus_rows(pages: DataFrame, links: DataFrame) -> DataFrame:
     """Head-to-head page joined with the tournament page that links to it: one raw match row."""
     page = F.col("html")
-    meetings = rows_of(F.concat_ws("", elements(page, MEETINGS_TABLE, "table")))
+    # the cells of a meeting are cut out once for both fields
+    meetings = F.transform(rows_of(F.concat_ws("", elements(page, MEETINGS_TABLE, "table"))), cells_of)
     rows = pages.select(
         F.col("url").alias("link"),
         *[_wins(page, name).alias(f"{side}Rate") for side, name in WINS.items()],
-        *[text.link_name(link_in(F.get(elements(page, name), F.lit(0)))).alias(f"{side}Name") for side, name in NAMES.items()],
-        F.transform(meetings, lambda r: first_in(F.get(cells_of(r), F.lit(MEETING_SURFACE_CELL)), r"(?s)<span\b[^>]*>\s*([^<]*?)\s*</span>")).alias("surfaces"),
-        F.transform(meetings, lambda r: text.link_name(link_in(F.get(cells_of(r), F.lit(MEETING_WINNER_CELL))))).alias("winners"))
+        *[text.link_name(link_in(element(page, name))).alias(f"{side}Name") for side, name in NAMES.items()],
+        F.transform(meetings, lambda cells: F.struct(
+            first_in(F.get(cells, F.lit(MEETING_SURFACE_CELL)), r"(?s)<span\b[^>]*>\s*([^<]*?)\s*</span>").alias("surface"),
+            text.link_name(link_in(F.get(cells, F.lit(MEETING_WINNER_CELL)))).alias("winner"))).alias("meetings"))
     joined = rows.join(links, "link")
     share = {
         f"{side}RateSurface": arrays.surface_share(
-            F.col("winners"), F.col("surfaces"), F.col("surfaceInout"), F.col(f"{side}Name"))
+            F.col("meetings.winner"), F.col("meetings.surface"), F.col("surfaceInout"), F.col(f"{side}Name"))
         for side in ("winner", "looser")
     }
     return joined.withColumns(share).select(
@@ -172,16 +183,16 @@ def ranking_rows(pages: DataFrame, host: str, last_rank: int | None = 300) -> Da
     A tied rank (``2T``) counts by its digits; a rank without digits is kept.
     """
     rows = pages.select(F.explode(rows_of(F.col("html"))).alias("row"))
-    link = link_in(F.get(elements(F.col("row"), RANKING_LINK), F.lit(0)))
-    cells = {c: text_of(F.get(elements(F.col("row"), name), F.lit(0))) for c, name in RANKING_CELLS.items()}
+    link = link_in(element(F.col("row"), RANKING_LINK))
+    cells = {c: text_of(element(F.col("row"), name)) for c, name in RANKING_CELLS.items()}
     url = F.replace(F.concat(F.lit(host), link), F.lit("overview"), F.lit("player-stats"))
     out = rows.select(url.alias("url"), *[v.alias(c) for c, v in cells.items()]).filter("url IS NOT NULL")
     return out if last_rank is None else out.filter(F.coalesce(text.first_number(F.col("ranking")) <= last_rank, F.lit(True)))
 
 
 def table_cell(tables: Column, table: int, row: int) -> Column:
-    """Second cell of a table row; tables and rows are found by their tags."""
-    return text_of(F.get(cells_of(F.get(rows_of(F.get(tables, F.lit(table))), F.lit(row))), F.lit(1)))
+    """Second cell of a row of tables that are lists of rows."""
+    return text_of(F.get(cells_of(F.get(F.get(tables, F.lit(table)), F.lit(row))), F.lit(1)))
 
 
 def listed_years(pages: DataFrame) -> DataFrame:
@@ -194,7 +205,8 @@ def listed_years(pages: DataFrame) -> DataFrame:
 def player_rows(pages: DataFrame) -> DataFrame:
     """Player page: 18 statistic cells and the biography fields, keyed by url."""
     body = F.regexp_extract("html", rf'(?s)id="{FACTS}"[^>]*>(.*)$', 1)
-    tables = every(body, r"(?s)<table\b[^>]*>(.*?)</table>")
+    # the rows of a table are cut out once for all of its cells
+    tables = F.transform(every(body, r"(?s)<table\b[^>]*>(.*?)</table>"), rows_of)
     cells = pages.withColumn("_tables", tables).withColumns({
         c: table_cell(F.col("_tables"), *at) for c, at in PLAYER_CELLS.items()}).drop("_tables")
     bio = extract(cells, PLAYER_PAGE)

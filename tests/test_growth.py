@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from courtside.functions import similarity
-from courtside.operators import fuzzy
+from courtside.operators import fuzzy, html
 
 
 def test_names_beyond_reach_are_not_compared(monkeypatch):
@@ -66,3 +66,13 @@ def test_ratio_of_short_names_grows_no_table(spark):
     started = time.perf_counter()
     total = names.select(F.sum(similarity.indel_ratio(F.col("a"), F.reverse("a")))).first()[0]
     assert total > 0 and time.perf_counter() - started < 30
+
+
+def test_page_parts_are_cut_out_once(spark):
+    """A pattern that the plan holds twice searches the page twice."""
+    pages = spark.createDataFrame([("u", "<p>")], "url string, html string").repartition(1)
+    links = spark.createDataFrame([("u", "n", "d", "250", "Finals", "Outdoor Clay")], "link string, name string, date string, typeTournament string, phase string, surfaceInout string")
+    text = html.versus_rows(pages, links)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count(html.MEETINGS_TABLE) == 1 and text.count(html.WINS["winner"]) == 1
+    statistics = html.player_rows(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert statistics.count("<tr") == 1
