@@ -1,8 +1,8 @@
-"""Fitted models as tables, and scores by joins and sums over them.
+"""Fitted models as tables, and scores by the numbers in them.
 
-A linear model is a table of coefficients, one row per input; the score is one grouped sum over unpivoted inputs. A boosted model is
-a table of nodes; every row of every tree starts at its root and goes one level down with each join. Only the tables themselves, as
-large as the model, pass the driver. A row with a missing input has no score.
+A linear model is a table of coefficients, one row per input; a boosted model is a table of nodes, on which every row goes down all
+trees from their roots. A table is as large as the model: it is put together as one value, which every task reads, so rows are
+scored where they are and nothing of them is moved. A row with a missing input has no score.
 """
 
 from __future__ import annotations
@@ -29,13 +29,20 @@ def linear_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, COEFFICIENTS)
 
 
+def with_linear_scores(df: DataFrame, inputs: Sequence[str], table: DataFrame, out: str = "prediction") -> DataFrame:
+    """Adds the probability of label 1; a row has none either if the table lacks one of the inputs."""
+    names = [*inputs, INTERCEPT]
+    by_name = table.agg(F.map_from_entries(F.collect_list(F.struct("input", "coefficient"))).alias("of"))
+    coefficients = by_name.select(F.array(*[F.try_element_at("of", F.lit(c)) for c in names])).scalar()
+    values = F.array(*[F.col(c).cast("double") for c in inputs], F.lit(1.0))
+    margin = F.aggregate(F.zip_with(values, "_model", lambda v, c: v * c), F.lit(0.0), lambda total, term: total + term)
+    # a column of its own first: Spark refuses a subquery inside a function over a list
+    return df.withColumn("_model", coefficients).withColumn(out, _logistic(margin)).drop("_model")
+
+
 def linear_scores(df: DataFrame, key: str, inputs: Sequence[str], table: DataFrame, out: str = "prediction") -> DataFrame:
     """Per key the probability of label 1."""
-    row = df.select(key, *[F.col(c).cast("double").alias(c) for c in inputs], F.lit(1.0).alias(INTERCEPT))
-    long = row.unpivot([key], [f"`{c}`" for c in (*inputs, INTERCEPT)], "input", "value")
-    terms = long.join(table, "input")
-    margin = F.when(F.count("value") == len(inputs) + 1, F.sum(F.col("value") * F.col("coefficient")))
-    return terms.groupBy(key).agg(_logistic(margin).alias(out))
+    return with_linear_scores(df, inputs, table, out).select(key, out)
 
 
 def _nodes(tree: object, number: int, weight: float) -> Iterator[tuple]:
@@ -58,18 +65,32 @@ def tree_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, NODES)
 
 
-def tree_scores(df: DataFrame, key: str, inputs: Sequence[str], table: DataFrame, out: str = "prediction") -> DataFrame:
-    """Per key the probability of label 1. A level of all trees is one join by tree and node."""
-    last = table.agg(F.max("tree")).first()[0]
+def with_tree_scores(df: DataFrame, inputs: Sequence[str], table: DataFrame, out: str = "prediction") -> DataFrame:
+    """Adds the probability of label 1. A tree is the list of its nodes by their numbers, from 0; a leaf leads to itself."""
+    node = F.struct("node", "feature", "threshold", "left", "right", "value")
+    trees = table.groupBy("tree", "weight").agg(F.sort_array(F.collect_list(node)).alias("nodes"))
+    all_trees = trees.agg(F.sort_array(F.collect_list(F.struct("tree", "weight", "nodes")))).scalar()
     values = F.array(*[F.col(c).cast("double") for c in inputs])
-    whole = df.select(key, values.alias("x")).withColumn("whole", ~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
-    at = whole.select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("tree"), F.lit(0).alias("node"))
-    down = F.when(F.get("x", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
-    for _ in range(depth(table)):
-        at = at.join(table, ["tree", "node"]).select(key, "x", "whole", "tree", F.coalesce(F.when(F.col("value").isNull(), down), F.col("node")).alias("node"))
-    leaves = at.join(table, ["tree", "node"])
-    margin = F.when(F.bool_and("whole"), F.sum(F.col("weight") * F.col("value")))
-    return leaves.groupBy(key).agg(_logistic(2 * margin).alias(out))
+    steps = F.array(*[F.lit(k) for k in range(depth(table))]).cast("array<int>")
+
+    def leaf(tree: Column) -> Column:
+        def down(at: Column, _: Column) -> Column:
+            here = F.get(tree["nodes"], at)
+            lower = F.get("_inputs", here["feature"]) <= here["threshold"]
+            return F.when(here["value"].isNotNull(), at).when(lower, here["left"]).otherwise(here["right"])
+
+        return F.get(tree["nodes"], F.aggregate(steps, F.lit(0), down))["value"]
+
+    margin = F.aggregate("_model", F.lit(0.0), lambda total, tree: total + tree["weight"] * leaf(tree))
+    whole = ~F.exists("_inputs", lambda v: v.isNull() | F.isnan(v))
+    # columns of their own first: Spark refuses a subquery inside a function over a list
+    ready = df.withColumns({"_inputs": values, "_model": all_trees})
+    return ready.withColumn(out, F.when(whole, _logistic(2 * margin))).drop("_inputs", "_model")
+
+
+def tree_scores(df: DataFrame, key: str, inputs: Sequence[str], table: DataFrame, out: str = "prediction") -> DataFrame:
+    """Per key the probability of label 1."""
+    return with_tree_scores(df, inputs, table, out).select(key, out)
 
 
 def depth(table: DataFrame) -> int:

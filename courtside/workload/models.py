@@ -26,9 +26,10 @@ def _rows(spark, sf_dir):
     m = a.attached(spark, sf_dir, SIDE).select(
         "match_id", "player0", "player1", F.col("label").cast("double").alias("label"),
         *[F.col(c).cast("double").alias(c) for c in INPUTS]).dropna("any")
-    parted = dataset.split(m, "match_id")
+    # written before the bounds are taken, or the joins would run once for them and once for the rows
+    parted = materialize(dataset.split(m, "match_id"), "training")
     bounds = dataset.fit_minmax(parted.filter("part = 'train'"), INPUTS)
-    return materialize(dataset.apply_minmax(parted, bounds, INPUTS), "training")
+    return dataset.apply_minmax(parted, bounds, INPUTS)
 
 
 def _scored(spark, sf_dir, algorithm, **params):
@@ -47,10 +48,9 @@ _COMPLETE = (*attached_sql(*SIDE), _COMPLETE_SQL)
 TOLERANCE = 1e-9
 
 
-def _agreeing(scored, by_table, *cols):
-    """Scored rows and whether the score by the model's table is the same."""
-    other = by_table.select("match_id", F.col("prediction").alias("by_table"))
-    return scored.join(other, "match_id").select(*cols, (F.abs(F.col("prediction") - F.col("by_table")) < TOLERANCE).alias("agrees"))
+def _same(other):
+    """Whether the score of the pipeline is the same as another one of the same row."""
+    return F.abs(F.col("prediction") - F.col(other)) < TOLERANCE
 
 
 @query("snk_3", a.with_sql(f"SELECT f.*, m.year FROM ({FEATURE_SQL}) f JOIN matches m USING (match_id)", *FEATURE_CTES))
@@ -76,17 +76,17 @@ def ml_3(spark, sf_dir):
 @query("ml_4", a.with_sql("SELECT match_id, label, true AS agrees FROM complete WHERE test", *_COMPLETE))
 def ml_4(spark, sf_dir):
     """The test part scored by a logistic model and by its table of coefficients."""
-    scored, fitted, rows = _scored(spark, sf_dir, "logistic", maxIter=20)
-    table = model_table.linear_table(spark, fitted)
-    return _agreeing(scored, model_table.linear_scores(rows.filter("part = 'test'"), "match_id", INPUTS, table), "match_id", "label")
+    scored, fitted, _ = _scored(spark, sf_dir, "logistic", maxIter=20)
+    both = model_table.with_linear_scores(scored, INPUTS, model_table.linear_table(spark, fitted), "by_table")
+    return both.select("match_id", "label", _same("by_table").alias("agrees"))
 
 
 @query("ml_5", a.with_sql("SELECT match_id, label, true AS agrees FROM complete WHERE test", *_COMPLETE))
 def ml_5(spark, sf_dir):
     """The test part scored by boosted trees that stopped early on the validation part, and by their table of nodes."""
-    scored, fitted, rows = _scored(spark, sf_dir, "boosted", maxIter=10, maxDepth=3)
-    table = model_table.tree_table(spark, fitted)
-    return _agreeing(scored, model_table.tree_scores(rows.filter("part = 'test'"), "match_id", INPUTS, table), "match_id", "label")
+    scored, fitted, _ = _scored(spark, sf_dir, "boosted", maxIter=10, maxDepth=3)
+    both = model_table.with_tree_scores(scored, INPUTS, model_table.tree_table(spark, fitted), "by_table")
+    return both.select("match_id", "label", _same("by_table").alias("agrees"))
 
 
 @query("ml_6", a.with_sql("SELECT count(*)::BIGINT AS rows, true AS agrees FROM complete WHERE test", *_COMPLETE))
@@ -100,29 +100,28 @@ def ml_6(spark, sf_dir):
 def ml_7(spark, sf_dir):
     """All rows scored, with their keys."""
     _, fitted, rows = _scored(spark, sf_dir, "logistic", maxIter=10)
-    table = model_table.linear_table(spark, fitted)
-    return _agreeing(model.score(fitted, rows), model_table.linear_scores(rows, "match_id", INPUTS, table), "match_id", "player0", "player1")
+    both = model_table.with_linear_scores(model.score(fitted, rows), INPUTS, model_table.linear_table(spark, fitted), "by_table")
+    return both.select("match_id", "player0", "player1", _same("by_table").alias("agrees"))
 
 
 @query("join_10", a.with_sql("SELECT match_id, player0, player1, true AS agrees FROM complete WHERE test", *_COMPLETE))
 def join_10(spark, sf_dir):
     """Predictions next to the names of their match: the names travel through the model, here a boosted one."""
-    scored, fitted, rows = _scored(spark, sf_dir, "boosted", maxIter=5, maxDepth=4)
-    table = model_table.tree_table(spark, fitted)
-    return _agreeing(scored, model_table.tree_scores(rows, "match_id", INPUTS, table), "match_id", "player0", "player1")
+    scored, fitted, _ = _scored(spark, sf_dir, "boosted", maxIter=5, maxDepth=4)
+    both = model_table.with_tree_scores(scored, INPUTS, model_table.tree_table(spark, fitted), "by_table")
+    return both.select("match_id", "player0", "player1", _same("by_table").alias("agrees"))
 
 
 @query("snk_6", a.with_sql("SELECT match_id, true AS agrees, true AS table_agrees FROM complete WHERE test", *_COMPLETE))
 def snk_6(spark, sf_dir):
     """Scores of a model that was written and read back, as a pipeline and as a table of nodes."""
-    scored, fitted, rows = _scored(spark, sf_dir, "boosted", maxIter=5, maxDepth=3)
+    scored, fitted, _ = _scored(spark, sf_dir, "boosted", maxIter=5, maxDepth=3)
     path, nodes = scratch_path(spark, "model"), scratch_path(spark, "nodes")
     model.save(fitted, path)
     sinks.write_table(model_table.tree_table(spark, fitted), nodes)
-    test = rows.filter("part = 'test'")
-    again = _agreeing(scored, model.score(model.load(path), test), "match_id")
-    walked = _agreeing(scored, model_table.tree_scores(test, "match_id", INPUTS, spark.read.parquet(nodes)), "match_id")
-    return again.join(walked.withColumnRenamed("agrees", "table_agrees"), "match_id")
+    again = model.score(model.load(path), scored.withColumnRenamed("prediction", "before"))
+    walked = model_table.with_tree_scores(again, INPUTS, spark.read.parquet(nodes), "by_table")
+    return walked.select("match_id", _same("before").alias("agrees"), (F.abs(F.col("before") - F.col("by_table")) < TOLERANCE).alias("table_agrees"))
 
 
 @query("agg_11", a.with_sql(

@@ -7,7 +7,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from courtside.functions import similarity
-from courtside.operators import fuzzy, html
+from courtside.operators import fuzzy, html, model_table
+from courtside.workload import models
 
 
 def test_names_beyond_reach_are_not_compared(monkeypatch):
@@ -76,3 +77,25 @@ def test_page_parts_are_cut_out_once(spark):
     assert text.count(html.MEETINGS_TABLE) == 1 and text.count(html.WINS["winner"]) == 1
     statistics = html.player_rows(pages)._jdf.queryExecution().optimizedPlan().toString()
     assert statistics.count("<tr") == 1
+
+
+def test_scores_by_a_table_move_no_rows(spark):
+    """Inputs stay where they are; unpivoted ones, or a row for every tree, would all be shuffled."""
+    rows = spark.range(0, 4, 1, 2).select(F.col("id").alias("key"), F.when(F.col("id") < 3, F.col("id") / 4).alias("a"), F.lit(0.5).alias("b"))
+    linear = spark.createDataFrame([("a", 2.0), ("b", -1.0), (model_table.INTERCEPT, 0.25)], model_table.COEFFICIENTS)
+    nodes = spark.createDataFrame(
+        [(0, 1.0, 0, 0, 0.25, 1, 2, None), (0, 1.0, 1, None, None, None, None, 0.5), (0, 1.0, 2, 1, 0.4, 3, 4, None),
+         (0, 1.0, 3, None, None, None, None, 9.0), (0, 1.0, 4, None, None, None, None, -0.5), (1, 0.5, 0, None, None, None, None, 0.2)], model_table.NODES)
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    for scored, margins in ((model_table.linear_scores(rows, "key", ["a", "b"], linear), [2 * k / 4 - 0.25 for k in range(3)]),
+                            (model_table.tree_scores(rows, "key", ["a", "b"], nodes), [1.2, 1.2, -0.8])):
+        lines = scored._jdf.queryExecution().sparkPlan().toString().splitlines()
+        main = "\n".join(x for x in lines if not x.lstrip().startswith(":"))  # without the model's own plan
+        assert "Join" not in main and "Aggregate" not in main and "Exchange" not in main
+        got = {r.key: r.prediction for r in scored.collect()}
+        assert got[3] is None and all(abs(got[k] - logistic(m)) < 1e-12 for k, m in enumerate(margins))
+
+
+def test_bounds_of_the_rows_do_not_repeat_their_joins(spark, sf_dir):
+    """The rows of a fit are read back from one written table."""
+    assert "Join" not in models._rows(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
