@@ -42,9 +42,9 @@ def group_documents(spark, sf_dir):
         F.to_json(F.struct(F.struct(F.array(kind).alias("groups")).alias("group"))).alias("json"))
 
 
-def event_documents(spark, sf_dir):
+def event_documents(spark, sf_dir, base=None):
     """One JSON document per match with the tournament it belongs to."""
-    return _offers_base(spark, sf_dir).select(F.to_json(F.struct(
+    return (_offers_base(spark, sf_dir) if base is None else base).select(F.to_json(F.struct(
         (F.col("seq") % 25).alias("groupId"), F.array(F.struct(F.col("seq").alias("id"))).alias("events"),
     )).alias("json"))
 
@@ -55,7 +55,7 @@ def _offers_base(spark, sf_dir):
         "surfaceInout")
 
 
-def offer_documents(spark, sf_dir):
+def offer_documents(spark, sf_dir, base=None):
     """One JSON document per match: its event, a match offer and an offer of another kind."""
     def outcomes(first, second):
         return F.array(F.struct(first.alias("oddsFractional")), F.struct(second.alias("oddsFractional")))
@@ -71,7 +71,7 @@ def offer_documents(spark, sf_dir):
         F.col("seq").alias("id"),
         F.concat("winnerName", F.lit(", Ann - "), "looserName", F.lit(", Bob")).alias("englishName"),
         F.col("date").alias("start"))
-    return _offers_base(spark, sf_dir).select(F.to_json(F.struct(
+    return (_offers_base(spark, sf_dir) if base is None else base).select(F.to_json(F.struct(
         F.array(event).alias("events"),
         F.array(
             offer("Total Games", outcomes(F.lit("1/2"), F.lit("3/2"))),
@@ -99,9 +99,9 @@ feed_offers AS (
 _FEED = (a.SQL_MATCHES_RAW, _FEED_SQL)
 
 
-def _listed(spark, sf_dir):
+def _listed(spark, sf_dir, base=None):
     tournaments = feed.feed_tournaments(_parsed(group_documents(spark, sf_dir), schemas.FEED_GROUPS))
-    return feed.feed_events(_parsed(event_documents(spark, sf_dir), schemas.FEED_EVENTS), tournaments)
+    return feed.feed_events(_parsed(event_documents(spark, sf_dir, base), schemas.FEED_EVENTS), tournaments)
 
 
 def _offers(spark, sf_dir):
@@ -233,17 +233,22 @@ def strm_1_events(spark, sf_dir):
 FILES_PER_POLL = 4
 
 
-def land_polls(spark, sf_dir, landing):
+def land_polls(spark, sf_dir, landing, base=None):
     """Four polls of the odds feed, each as many files: most events, a third of them with other odds, the same poll again in another
     folder, and one that comes days too late with events that no other poll has."""
-    offers = offer_documents(spark, sf_dir)
-    event = F.get_json_object("json", "$.events[0].id").cast("long")
+    # the matches behind the documents are written once; a poll makes the documents of its own events only
+    base = materialize(_offers_base(spark, sf_dir), "offers-base") if base is None else base
+    event = F.col("seq")
+
+    def documents_of(events):
+        return offer_documents(spark, sf_dir, base.filter(events))
+
     changed = F.replace("json", F.lit('"5/4"'), F.lit('"2/1"')).alias("json")
     polls = [
-        ("poll-20200105120000", offers.filter(event % 7 != 0).select(changed)),
-        ("poll-20200105130000", offers.filter((event % 7 != 0) & (event % 3 == 0))),
-        ("poll-20200105130000-again", offers.filter((event % 7 != 0) & (event % 3 == 0))),
-        ("poll-20200101120000", offers.filter(event % 7 == 0))]
+        ("poll-20200105120000", documents_of(event % 7 != 0).select(changed)),
+        ("poll-20200105130000", documents_of((event % 7 != 0) & (event % 3 == 0))),
+        ("poll-20200105130000-again", documents_of((event % 7 != 0) & (event % 3 == 0))),
+        ("poll-20200101120000", documents_of(event % 7 == 0))]
     for name, documents in polls:
         documents.repartition(FILES_PER_POLL).write.text(f"{landing}/{name}")
 
@@ -257,8 +262,9 @@ def land_polls(spark, sf_dir, landing):
 def strm_1(spark, sf_dir):
     """Latest offer per match from streamed polls of the feed, one poll a batch: a repeated poll and a late one change nothing."""
     landing, target = scratch_path(spark, "polls"), scratch_path(spark, "offers")
-    land_polls(spark, sf_dir, landing)
-    listed = materialize(_listed(spark, sf_dir), "listed")
+    base = materialize(_offers_base(spark, sf_dir), "offers-base")
+    land_polls(spark, sf_dir, landing, base)
+    listed = materialize(_listed(spark, sf_dir, base), "listed")
     feed_stream.upsert_offers(
         spark, landing, listed, target, scratch_path(spark, "offers-state"), files_per_trigger=FILES_PER_POLL).awaitTermination()
     cols = ["key", "tournement", "start", "joueur0", "joueur1", "oddJoueur0", "oddJoueur1"]
