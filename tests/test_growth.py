@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from courtside.functions import similarity
 from courtside.operators import fuzzy, html, model_table
-from courtside.workload import models
+from courtside.plans import refresh
+from courtside.workload import analogue, feeds, models, predictions
 
 
 def test_names_beyond_reach_are_not_compared(monkeypatch):
@@ -99,3 +100,32 @@ def test_scores_by_a_table_move_no_rows(spark):
 def test_bounds_of_the_rows_do_not_repeat_their_joins(spark, sf_dir):
     """The rows of a fit are read back from one written table."""
     assert "Join" not in models._rows(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _calls(monkeypatch, name):
+    made, original = [], getattr(analogue, name)
+    monkeypatch.setattr(analogue, name, lambda *args: made.append(args) or original(*args))
+    return made
+
+
+def test_prediction_run_derives_matches_once(spark, sf_dir, monkeypatch):
+    """Offers, names, form and last meetings start from one written table of matches."""
+    made = _calls(monkeypatch, "matches_raw")
+    total = predictions.flt_12_account(spark, sf_dir).groupBy(F.col("outcome") == "upcoming").agg(F.sum("n").alias("n")).collect()
+    assert len(made) == 1 and len({r.n for r in total}) == 1
+
+
+def test_stream_run_derives_matches_once(spark, sf_dir, monkeypatch):
+    """Four polls and the listed events are made from one written table."""
+    made = _calls(monkeypatch, "matches_raw")
+    assert feeds.strm_1(spark, sf_dir).count() > 0 and len(made) == 1
+
+
+def test_features_carry_only_their_inputs(spark, sf_dir, monkeypatch):
+    """The written rows have no column that no feature reads, and the digest of a match as bytes."""
+    written, original = [], refresh.materialize
+    monkeypatch.setattr(refresh, "materialize", lambda df, name: written.append(df.dtypes) or original(df, name))
+    rows = refresh.feature_rows(analogue.matches_raw(spark, sf_dir), analogue.stats_raw(spark, sf_dir), ("match_id",))
+    columns = dict(written[0])
+    assert columns["match_id"] == "binary" and not {"url", "date", "name", "winnerName", "looserName", "surfaceInout", "weight0"} & set(columns)
+    assert rows.first().match_id in {r.match_id for r in analogue.matches(spark, sf_dir).select("match_id").collect()}
