@@ -30,18 +30,23 @@ MANIFESTS = "_manifest"
 COMMIT_ATTEMPTS = 20
 
 
+def spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a directory together in few tasks; adaptive execution splits the directories that are large."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite",
-    keep_other_partitions: bool = False,
+    keep_other_partitions: bool = False, is_spread: bool = False,
 ) -> None:
     """Writes a table, by default as parquet.
 
     Partition columns are spread evenly first, so that a directory does not get one small file from every task and a
-    large one is not written by a single task. ``keep_other_partitions`` replaces only the directories that get rows.
+    large one is not written by a single task; ``is_spread`` says that this has been done, as for rows that were narrower
+    before. ``keep_other_partitions`` replaces only the directories that get rows.
     """
-    if partition_by:
-        # rebalance keeps rows of a directory together, and adaptive execution splits the directories that are large
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if partition_by and not is_spread:
+        df = spread(df, partition_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         # keep blanks around text
@@ -53,9 +58,9 @@ def write_table(
     writer.save(path)
 
 
-def write_entities(df: DataFrame, path: str, levels: Sequence[str]) -> None:
+def write_entities(df: DataFrame, path: str, levels: Sequence[str], is_spread: bool = False) -> None:
     """Entities below one directory per level; many rows per file instead of one file per row."""
-    write_table(df, path, partition_by=levels)
+    write_table(df, path, partition_by=levels, is_spread=is_spread)
 
 
 def append_predictions(df: DataFrame, path: str) -> None:

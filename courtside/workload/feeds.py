@@ -436,14 +436,20 @@ _STATS_COLUMNS_SQL = ", ".join(f'"{c}"' for c in schemas.STAT_COLUMNS)
 _MATCH_COLUMNS_SQL = ", ".join(f'"{c}"' for c in schemas.MATCH_COLUMNS)
 
 
+def _located_stats(spark, sf_dir, levels):
+    """Statistics with the directory levels of their path, ready to be written there. The totals are moved and sorted; their texts,
+    several times as wide, are made where they are written."""
+    totals = sinks.spread(a.stats_totals(spark, sf_dir), ["y", "qt", "s"])
+    parts = {name: F.split_part(a.stats_seq(), F.lit("/"), F.lit(k)) for k, name in enumerate(levels, 2)}
+    return a.stats_text(totals.withColumns(parts).sortWithinPartitions(*levels), *levels)
+
+
 def _land_players(spark, sf_dir):
     """Statistics as one-row-per-record CSV files below year / week / surface, with an unnamed row number."""
-    raw = a.stats_raw(spark, sf_dir)
+    levels = ["_year", "_week", "_kind"]
     path = scratch_path(spark, "lake")
-    rows = raw.select(
-        F.lit("0").alias("_c0"), *schemas.STAT_COLUMNS, F.split_part("seq", F.lit("/"), F.lit(2)).alias("_year"),
-        F.split_part("seq", F.lit("/"), F.lit(3)).alias("_week"), F.split_part("seq", F.lit("/"), F.lit(4)).alias("_kind"))
-    sinks.write_table(rows, path, ["_year", "_week", "_kind"], fmt="csv")
+    rows = _located_stats(spark, sf_dir, levels).select(F.lit("0").alias("_c0"), *schemas.STAT_COLUMNS, *levels)
+    sinks.write_table(rows, path, levels, fmt="csv", is_spread=True)
     return path
 
 
@@ -539,10 +545,10 @@ _LEVELS_SQL = """split_part(seq, '/', 2) AS _year, split_part(seq, '/', 3) AS _w
 
 def _land_entities(spark, sf_dir):
     """All statistics below year / week / surface, many rows a file."""
-    rows = a.stats_raw(spark, sf_dir)
-    levels = [F.split_part("seq", F.lit("/"), F.lit(k)).alias(f"_{name}") for k, name in enumerate(lake.PLAYER_LAYOUT, 2)]
+    levels = [f"_{name}" for name in lake.PLAYER_LAYOUT]
     path = scratch_path(spark, "entities")
-    sinks.write_entities(rows.select(*schemas.STAT_COLUMNS, *levels), path, [f"_{name}" for name in lake.PLAYER_LAYOUT])
+    rows = _located_stats(spark, sf_dir, levels).select(*schemas.STAT_COLUMNS, *levels)
+    sinks.write_entities(rows, path, levels, is_spread=True)
     return path
 
 
