@@ -123,8 +123,8 @@ matches_raw AS (
   FROM _ends JOIN orders ON l_orderkey = o_orderkey)"""
 
 
-def stats_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbers behind the statistics, one row per supplier, year, quarter and surface."""
+def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """31 text columns, ``surface`` and ``seq``, one row per supplier, year, quarter and surface."""
     # joined before it is aggregated: lines of one order rarely share a supplier, so grouping them first saves nothing
     def flag(test: Column) -> Column:
         return test.cast("int")
@@ -137,22 +137,11 @@ def stats_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("qt"),
         _case(F.col("o_orderstatus"), {"O": "hard", "F": "clay", "P": "grass"}).alias("s"))
-    return (
+    g = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_suppkey", "y", "qt", "s")
         .agg(*[F.sum(c).alias(c) for c in ("n", "q", "d", "t", "r", "a", "o")])
     )
 
-
-def stats_seq() -> Column:
-    """The landed path of a row of totals."""
-    week = F.concat(F.lit("1-"), (3 * F.col("qt") - 2).cast("string"))
-    return F.concat(
-        F.lit("Players/"), F.col("y").cast("string"), F.lit("/"), week, F.lit("/"), F.col("s"), F.lit("/"), _player(F.col("l_suppkey")),
-        F.lit(".csv"))
-
-
-def stats_text(totals: DataFrame, *keep: str) -> DataFrame:
-    """The statistics of totals: 31 text columns, ``surface`` and ``seq``, and the columns to keep."""
     def pct(expr: str) -> Column:
         return F.concat(F.expr(f"CAST({expr} AS STRING)"), F.lit("%"))
 
@@ -163,10 +152,11 @@ def stats_text(totals: DataFrame, *keep: str) -> DataFrame:
         return F.expr(f"CASE WHEN {expr} = 0 THEN '[]' ELSE CAST({expr} AS STRING) END")
 
     player = _player(F.col("l_suppkey"))
+    week = F.concat(F.lit("1-"), (3 * F.col("qt") - 2).cast("string"))
     thousands = (
         "CASE WHEN {0} >= 1000 THEN concat(CAST({0} div 1000 AS STRING), ',', lpad(CAST({0} % 1000 AS STRING), 3, '0')) "
         "ELSE CAST({0} AS STRING) END")
-    return totals.select(
+    return g.select(
         player.alias("player"), txt("q").alias("aces"), dirty("r").alias("doubleFautes"),
         pct("100 * q div (50 * n)").alias("firstServe"), pct("100 * d div (10 * n)").alias("firstServePointsWon"),
         pct("100 * t div (8 * n)").alias("secondServePointsWon"), txt("n + r").alias("breakPointsFaced"),
@@ -191,15 +181,13 @@ def stats_text(totals: DataFrame, *keep: str) -> DataFrame:
         txt("1 + (q + 13 * d) % 300").alias("ranking"),
         F.expr(thousands.format("(10 * q + d)")).alias("points"), txt("n + o").alias("tournCell"),
         F.expr(thousands.format("(7 * q + t)")).alias("pointsDropping"), txt("r + o").alias("nextBest"),
-        stats_seq().alias("seq"), F.col("s").alias("surface"), *keep,
+        F.concat(
+            F.lit("Players/"), txt("y"), F.lit("/"), week, F.lit("/"), F.col("s"), F.lit("/"), player, F.lit(".csv")
+        ).alias("seq"),
+        F.col("s").alias("surface"),
     )
 
 
-def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """31 text columns, ``surface`` and ``seq``, one row per supplier, year, quarter and surface."""
-    return stats_text(stats_totals(spark, sf_dir))
-
-
 def _pct(e: str) -> str:
     return f"CAST({e} AS VARCHAR) || '%'"
 
