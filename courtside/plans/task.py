@@ -9,6 +9,7 @@ from courtside.operators import clean, dataset, feed, model, orient
 from courtside.operators.names import NameIndex
 from courtside.plans import prediction, refresh, training
 from courtside.schemas import FEATURES
+from courtside.session import materialize
 from courtside.sources import sinks
 
 KEY = ["complete_id"]
@@ -66,9 +67,9 @@ def predict_upcoming(
     last = features(spark, store).withColumn("seq", F.struct("start_date", "match_id"))
     asked = upcoming.select(F.explode(F.array("joueur0", "joueur1")).alias("query"))
     index = NameIndex(spark, f"{store}/names")
-    judged = prediction.judged_matches(
+    judged = materialize(prediction.judged_matches(
         upcoming, lookup, stats, matches(spark, store), last, as_of_year=as_of_year,
-        names=index.resolve(asked, "statistics"), form_names=index.resolve(asked, "history"))
+        names=index.resolve(asked, "statistics"), form_names=index.resolve(asked, "history")), "judged")
     out = prediction.predict(prediction.scorable(judged), spark.read.parquet(f"{store}/scaler"), model.load(f"{store}/model"))
     sinks.write_version(out, f"{store}/predictions", version, KEY, [F.col("match_date"), F.col("probability_score_player_0")])
     cols = ["tournement", "start", "joueur0", "joueur1", "reason", "detail"]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.operators.skew import last_row
-from courtside.session import hadoop_path
+from courtside.session import hadoop_path, shuffles_removed
 
 #: column of a row's version; the folder's name has it as well, but a compacted folder holds rows of many
 VERSION = "_version"
@@ -50,7 +50,8 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if keep_other_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    with shuffles_removed(df.sparkSession):
+        writer.save(path)
 
 
 def write_entities(df: DataFrame, path: str, levels: Sequence[str]) -> None:

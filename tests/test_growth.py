@@ -1,6 +1,7 @@
 """What must not grow faster than the input: compared names, shuffled columns, repeated work."""
 
 import random
+import re
 import time
 
 import numpy as np
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from courtside.functions import similarity
 from courtside.operators import fuzzy, html, model_table
-from courtside.plans import refresh
+from courtside.plans import prediction, refresh
+from courtside.session import CLEANUP, materialize
 from courtside.workload import analogue, feeds, models, predictions
 
 
@@ -129,3 +131,49 @@ def test_features_carry_only_their_inputs(spark, sf_dir, monkeypatch):
     columns = dict(written[0])
     assert columns["match_id"] == "binary" and not {"url", "date", "name", "winnerName", "looserName", "surfaceInout", "weight0"} & set(columns)
     assert rows.first().match_id in {r.match_id for r in analogue.matches(spark, sf_dir).select("match_id").collect()}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _joins(text):
+    return len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash|BroadcastNestedLoop)Join", text))
+
+
+def test_lines_of_an_order_are_moved_once(spark, sf_dir):
+    """Values per supplier, ends of an order and the order itself are found by one shuffle of the lines."""
+    assert _plan(analogue.matches_raw(spark, sf_dir)).count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+def test_shuffles_of_a_written_table_are_removed(spark):
+    """The files go when the write ends, not when the driver collects its garbage; other queries keep theirs."""
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in files.split("\n") if "/shuffle_" in x}
+
+    before, setting = shuffles(), spark.conf.get(CLEANUP)
+    assert materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "cleaned").count() == 7
+    until = time.time() + 20
+    while time.time() < until and any(x.endswith(".data") for x in shuffles() - before):
+        time.sleep(0.2)
+    # the count itself has shuffled one row a file
+    assert len([x for x in shuffles() - before if x.endswith(".data")]) <= 1
+    assert spark.conf.get(CLEANUP) == setting
+
+
+def test_prediction_run_looks_up_sides_beside_the_matches(spark, sf_dir, monkeypatch):
+    """Matches are joined with the lookup, each side and the last meeting; statistics are derived once, for names and rows."""
+    written = []
+
+    def noting(df, name):
+        written.append((df.columns, _plan(df)))
+        return materialize(df, name)
+
+    for module in (predictions, prediction, fuzzy):
+        monkeypatch.setattr(module, "materialize", noting)
+    assert predictions.judged(spark, sf_dir, columns=["start", "reject"]).columns == ["start", "reject"]
+    assert sum(_joins(text) for columns, text in written if "reject" in columns) == 4
+    assert sum(text.count("lineitem.parquet") for _, text in written) == 2
+    # the statistics of a side are in a table of names and surfaces
+    assert all(c in ("start", "reject") for c in written[-1][0])
