@@ -31,14 +31,24 @@ def attach_stats(matches: DataFrame, stats: DataFrame, cols: Sequence[str], seq:
     nulls, and no match is multiplied. Adaptive execution picks broadcast or sort-merge and splits skewed keys.
     """
     cols = [c for c in cols if c not in STATS_KEY]
-    dim = latest_stats(stats, cols, seq)
+    return attach_latest(matches, latest_stats(stats, cols, seq), cols)
+
+
+def written_latest(stats: DataFrame, cols: Sequence[str], seq: str = "seq") -> DataFrame:
+    """``latest_stats`` as a written table, for lookups that are made one after another."""
+    return materialize(latest_stats(stats, cols, seq), "latest-stats")
+
+
+def attach_latest(matches: DataFrame, dim: DataFrame, cols: Sequence[str], slots: Sequence[int | str] = (0, 1)) -> DataFrame:
+    """``attach_stats`` from the last rows per key; ``slots``: the ends of the columns that name the players."""
+    cols = [c for c in cols if c not in STATS_KEY]
     out = matches.withColumn("_surface", rates.stats_surface(F.col("surface")))
-    for slot in (0, 1):
+    for slot in slots:
         side = dim.select(
             F.col("player").alias(f"player{slot}"), "year", F.col("surface").alias("_surface"),
             *[F.col(c).alias(f"{c}{slot}") for c in cols])
         out = out.join(side, [f"player{slot}", "year", "_surface"], "left")
-    sides = [f"{c}{slot}" for slot in (0, 1) for c in cols]
+    sides = [f"{c}{slot}" for slot in slots for c in cols]
     return out.select(*matches.columns, *sides)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from courtside.functions import similarity
-from courtside.operators import fuzzy, html, model_table
+from courtside.operators import enrich, form, fuzzy, html, model_table
 from courtside.plans import prediction, refresh
 from courtside.session import CLEANUP, materialize
 from courtside.workload import analogue, feeds, models, predictions
@@ -177,3 +177,29 @@ def test_prediction_run_looks_up_sides_beside_the_matches(spark, sf_dir, monkeyp
     assert sum(text.count("lineitem.parquet") for _, text in written) == 2
     # the statistics of a side are in a table of names and surfaces
     assert all(c in ("start", "reject") for c in written[-1][0])
+
+
+def test_features_move_no_matches_after_their_statistics(spark, sf_dir):
+    """The last plan attaches statistics to written matches with their form; it has no form, no shuffle by match, no second plan for hot players."""
+    rows = refresh.feature_rows(analogue.matches_raw(spark, sf_dir), analogue.stats_raw(spark, sf_dir), ("match_id", "year"))
+    text = _plan(rows)
+    assert _joins(text) == 2 and "Window" not in text and "Union" not in text and "hashpartitioning(match_id" not in text
+
+
+def test_form_reads_the_rankings_of_the_beaten(spark):
+    """One lookup a match gives the form that both rankings give, with and without hot players."""
+    rnd = random.Random(3)
+    days = [f"2000-01-{d:02d}" for d in range(1, 10)]
+    played = [(f"m{k:03d}", *sorted(rnd.sample("abcde", 2)), 2000, rnd.choice(days), rnd.choice(["Hard", "Carpet", None]), rnd.randint(0, 1)) for k in range(80)]
+    matches = spark.createDataFrame(played, "match_id string, player0 string, player1 string, year int, start_date string, surface string, label int").withColumn(
+        "start_date", F.col("start_date").cast("date"))
+    known = spark.createDataFrame([(p, 2000, s, 10 * k + len(s)) for k, p in enumerate("abcd") for s in ("hard", "grass")],
+                                  "player string, year int, surface string, ranking int")
+    both = enrich.attach_latest(matches, known, ["ranking"])
+    want = form.recent_form(form.player_rows(both, ("match_id", "start_date")), 3, hot_rows=None)
+    want = {(r.match_id, r.slot): (0.5 if r.forme is None else r.forme, r.win_mean) for r in want.collect()}
+    assert any(m is not None for _, m in want.values())
+    beaten = materialize(refresh.with_beaten(matches, known), "beaten")
+    for hot_rows in (None, 5, 1000):
+        got = refresh.with_form(beaten, hot_rows).collect()
+        assert {(r.match_id, s): (r[f"Forme{s}"], r[f"WinMean{s}"]) for r in got for s in (0, 1)} == want
