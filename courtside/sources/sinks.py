@@ -46,6 +46,8 @@ def write_table(
     if fmt == "csv":
         # keep blanks around text
         writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    elif fmt == "parquet":
+        writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if keep_other_partitions:
